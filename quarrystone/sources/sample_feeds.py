@@ -17,6 +17,15 @@ FEEDS = ("raw_customers", "raw_products", "raw_orders", "raw_order_lines", "raw_
 SAMPLE_SEGMENTS = ("automobile", "building", "furniture", "household", "machinery", "unknown")
 SAMPLE_CATEGORIES = ("economy", "large", "medium", "promo", "small", "standard")
 
+# Contracts that the planted defects break: blank prices, products missing from
+# the catalogue, and events that are no real sessions, so that a stage can
+# outnumber the one before it.
+SAMPLE_DEFECTS = (
+    "not_null:stg_products.list_price",
+    "relationships:stg_order_lines.product_id",
+    "between:mart_channel_funnel.cart_rate_pct",
+)
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
