@@ -38,7 +38,8 @@ def iso_weekday(date_text: Column) -> Column:
 
 
 def weekday_name(weekday: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(name) for name in WEEKDAY_NAMES]), weekday)
+    # Not element_at: on a literal array it takes a NULL index for the last element.
+    return F.get(F.array(*[F.lit(name) for name in WEEKDAY_NAMES]), weekday - 1)
 
 
 def quarter_of(month: Column) -> Column:

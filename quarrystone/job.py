@@ -12,12 +12,17 @@ from __future__ import annotations
 import argparse
 import time
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import partial
+from graphlib import TopologicalSorter
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrystone.plans.registry import MARTS, MODELS, chosen
+from quarrystone.plans.registry import MARTS, MODELS, Model, chosen
 from quarrystone.quality.contracts import Contract, warehouse_contracts
 from quarrystone.quality.suite import CheckResult, QualityGateError, gate, run_suite, summary
 from quarrystone.report import RunReport, append_report, published_run
@@ -26,33 +31,57 @@ from quarrystone.sources.landing import land_all
 from quarrystone.sources.tables import export_csv, materialize_table, materialize_view, read_table
 
 
+T = TypeVar("T")
+
+
 def run_folder(warehouse: str, run_id: str) -> str:
     return f"{warehouse.rstrip('/')}/runs/{run_id}"
 
 
-def land_raw(sources: Mapping[str, DataFrame], folder: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
+def _together(spark: SparkSession, tasks: Sequence[Callable[[], T]]) -> list[T]:
+    """Run independent Spark actions at the same time, so the tail of one does not leave executors idle."""
+    with ThreadPoolExecutor(max_workers=max(len(tasks), 1)) as pool:
+        return list(pool.map(lambda task: task(), map(inheritable_thread_target(spark), tasks)))
+
+
+def land_raw(
+    spark: SparkSession, sources: Mapping[str, DataFrame], folder: str
+) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Write the raw feeds as text tables; returns them with their row counts."""
-    stored, rows = {}, {}
-    for name, df in sources.items():
-        stored[name], rows[name] = materialize_table(df, name, f"{folder}/raw/{name}")
-    return stored, rows
+    tasks = [partial(materialize_table, df, n, f"{folder}/raw/{n}") for n, df in sources.items()]
+    written = _together(spark, tasks)
+    stored = {name: df for name, (df, _) in zip(sources, written)}
+    return stored, {name: rows for name, (_, rows) in zip(sources, written)}
+
+
+def _materialize(model: Model, tables: Mapping[str, DataFrame], folder: str) -> tuple[DataFrame, dict]:
+    df = model.build(*[tables[i] for i in model.inputs])
+    if model.materialized == "view":
+        stored = materialize_view(df, model.name)
+        rows = df.count()
+    else:
+        stored, rows = materialize_table(df, model.name, f"{folder}/models/{model.name}", model.partition_by)
+    return stored, {"name": model.name, "layer": model.layer, "materialized": model.materialized, "rows": rows}
 
 
 def build_models(
-    tables: Mapping[str, DataFrame], folder: str, select: Iterable[str] | None = None
+    spark: SparkSession, tables: Mapping[str, DataFrame], folder: str, select: Iterable[str] | None = None
 ) -> tuple[dict[str, DataFrame], list[dict]]:
-    """Build the selected layers or models over ``tables``; returns all tables and one record per built model."""
-    tables, built = dict(tables), []
-    for model in chosen(select):
-        df = model.build(*[tables[i] for i in model.inputs])
-        if model.materialized == "view":
-            tables[model.name] = materialize_view(df, model.name)
-            rows = df.count()
-        else:
-            path = f"{folder}/models/{model.name}"
-            tables[model.name], rows = materialize_table(df, model.name, path, model.partition_by)
-        built.append({"name": model.name, "layer": model.layer, "materialized": model.materialized, "rows": rows})
-    return tables, built
+    """Build the selected layers or models over ``tables``; returns all tables and one record per built model.
+
+    Models whose inputs are all there are built at the same time.
+    """
+    tables, built = dict(tables), {}
+    due = {m.name: m for m in chosen(select)}
+    order = TopologicalSorter({m.name: [i for i in m.inputs if i in due] for m in due.values()})
+    order.prepare()
+    while order.is_active():
+        ready = order.get_ready()
+        stored = _together(spark, [partial(_materialize, due[n], tables, folder) for n in ready])
+        for name, (df, record) in zip(ready, stored):
+            tables[name], built[name] = df, record
+        order.done(*ready)
+    return tables, [built[name] for name in due]
 
 
 def full_refresh(
@@ -88,16 +117,16 @@ def full_refresh(
             gate(results, stage)
 
     try:
-        tables, report.extracted = land_raw(sources, folder)
-        tables, built = build_models(tables, folder, ["staging"])
+        tables, report.extracted = land_raw(spark, sources, folder)
+        tables, built = build_models(spark, tables, folder, ["staging"])
         report.models += built
         judge("staging", [c for c in contracts if c.model in staging], tables)
-        tables, built = build_models(tables, folder, ["core", "marts"])
+        tables, built = build_models(spark, tables, folder, ["core", "marts"])
         report.models += built
         judge("final", [c for c in contracts if c.model not in staging], tables)
         if export:
-            for mart in MARTS:
-                report.exports[mart] = export_csv(tables[mart], f"{folder}/exports/{mart}")
+            written = _together(spark, [partial(export_csv, tables[m], f"{folder}/exports/{m}") for m in MARTS])
+            report.exports = dict(zip(MARTS, written))
         failed = any(r.severity == "error" and not r.passed for r in results)
         report.status, report.published = ("failed_quality" if failed else "success"), True
     except QualityGateError:

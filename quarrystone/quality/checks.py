@@ -14,6 +14,9 @@ from quarrystone.quality.contracts import Contract
 
 Tables = Mapping[str, DataFrame]
 
+# How many copies of an orphan key one task writes out at a time.
+COPIES_PER_ROW = 100_000
+
 # Checks that look at one row at a time, as the predicate that marks a violation.
 ROW_CHECKS: dict[str, Callable[[Contract], Column]] = {
     "not_null": lambda c: F.col(c.column).isNull(),
@@ -31,31 +34,31 @@ def duplicate_keys(tables: Tables, contract: Contract) -> DataFrame:
     return counted.where(F.col("n") > 1)
 
 
-def _parent_keys(tables: Tables, contract: Contract) -> DataFrame:
-    return tables[contract.args["to"]].select(F.col(contract.args["field"]).alias("parent_key")).distinct()
-
+def orphan_keys(tables: Tables, contract: Contract) -> DataFrame:
+    """Child keys without a parent, with their number of rows.
 
-def orphan_rows(tables: Tables, contract: Contract) -> DataFrame:
-    """Every child row whose key has no parent."""
-    child = tables[contract.model].where(F.col(contract.column).isNotNull()).select(contract.column)
-    parent = _parent_keys(tables, contract)
-    return child.join(parent, F.col("parent_key") == F.col(contract.column), "left_anti")
+    Both sides are reduced to one row per key before the join, so a key that
+    holds a large share of the rows weighs no more than any other.
+    """
+    column = contract.column
+    child = tables[contract.model].where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    parent = tables[contract.args["to"]].select(F.col(contract.args["field"]).alias("parent_key")).distinct()
+    return child.join(parent, F.col("parent_key") == F.col(column), "left_anti")
 
 
-def orphan_keys(tables: Tables, contract: Contract) -> DataFrame:
-    """Child keys without a parent, with their number of rows.
+def orphan_rows(tables: Tables, contract: Contract) -> DataFrame:
+    """The key of every child row that has no parent, once per row.
 
-    Counting per key first means a key that holds a large share of the child
-    rows reaches the join as one row.
+    Rows with the same key are the same here, so they are written out again
+    from the counts per key. The copies of one key come from as many tasks as
+    there are blocks of them.
     """
-    child = (
-        tables[contract.model]
-        .where(F.col(contract.column).isNotNull())
-        .groupBy(contract.column)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    parent = _parent_keys(tables, contract)
-    return child.join(parent, F.col("parent_key") == F.col(contract.column), "left_anti")
+    spark = tables[contract.model].sparkSession
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {COPIES_PER_ROW}")))
+    copies = F.least(F.lit(COPIES_PER_ROW).cast("long"), F.col("n") - F.col("block") * COPIES_PER_ROW)
+    blocks = orphan_keys(tables, contract).select(contract.column, "n", block.alias("block"))
+    spread = blocks.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), contract.column, "block")
+    return spread.select(contract.column, F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(contract.column)
 
 
 def row_count_outside(tables: Tables, contract: Contract) -> DataFrame:

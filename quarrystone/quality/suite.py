@@ -46,25 +46,32 @@ def _one_pass(table: DataFrame, contracts: Mapping[int, Contract]) -> DataFrame:
         if c.test == "row_count_between":
             measures.append(F.count(F.lit(1)).alias(measure))
             low, high = c.args["min"], c.args["max"]
-            failing.append(f"struct({position} AS position, bigint({measure} NOT BETWEEN {low} AND {high}) AS failing_rows)")
+            failing.append(
+                f"struct({position} AS position, bigint({measure} NOT BETWEEN {low} AND {high}) AS failing_rows, "
+                f"to_json(struct({measure} AS n)) AS sample)"
+            )
         else:
             measures.append(F.count_if(ROW_CHECKS[c.test](c)).alias(measure))
-            failing.append(f"struct({position} AS position, {measure} AS failing_rows)")
+            failing.append(
+                f"struct({position} AS position, {measure} AS failing_rows, string(NULL) AS sample)"
+            )
     return table.agg(*measures).selectExpr(f"inline(array({', '.join(failing)}))")
 
 
 def _own_pass(tables: Mapping[str, DataFrame], position: int, contract: Contract) -> DataFrame:
+    """The violations of one contract, counted, with the smallest one as a sample."""
+    sample = F.to_json(F.min(F.struct("*"))).alias("sample")
     if contract.test == "relationships":
-        found = orphan_keys(tables, contract).agg(F.sum("n").alias("failing_rows"))
+        found = orphan_keys(tables, contract).agg(F.sum("n").alias("failing_rows"), sample)
     else:
-        found = violations(tables, contract).agg(F.count(F.lit(1)).alias("failing_rows"))
-    return found.selectExpr(f"{position} AS position", "coalesce(failing_rows, 0L) AS failing_rows")
+        found = violations(tables, contract).agg(F.count(F.lit(1)).alias("failing_rows"), sample)
+    return found.selectExpr(f"{position} AS position", "coalesce(failing_rows, 0L) AS failing_rows", "sample")
 
 
 def _counters(
     spark: SparkSession, tables: Mapping[str, DataFrame], contracts: Mapping[int, Contract]
 ) -> list[DataFrame]:
-    """Plans yielding (position, failing_rows) for contracts that share one kind of pass.
+    """Plans yielding (position, failing_rows, sample) for contracts that share one kind of pass.
 
     If they cannot be planned together, each is planned alone and those that
     still cannot be are counted as errored.
@@ -76,10 +83,22 @@ def _counters(
         return [_own_pass(tables, position, c) for position, c in contracts.items()]
     except (KeyError, PySparkException):
         if len(contracts) == 1:
-            return [spark.range(1).selectExpr(f"{next(iter(contracts))} AS position", f"{ERRORED}L AS failing_rows")]
+            position = next(iter(contracts))
+            errored = f"{position} AS position", f"bigint({ERRORED}) AS failing_rows", "string(NULL) AS sample"
+            return [spark.range(1).selectExpr(*errored)]
         return [df for position, c in contracts.items() for df in _counters(spark, tables, {position: c})]
 
 
+def _counted(
+    spark: SparkSession, tables: Mapping[str, DataFrame], contracts: Sequence[Contract]
+) -> DataFrame:
+    groups: dict[tuple, dict[int, Contract]] = {}
+    for position, c in enumerate(contracts):
+        group = (c.model,) if c.test in ONE_SCAN_CHECKS else (c.model, position)
+        groups.setdefault(group, {})[position] = c
+    return reduce(DataFrame.union, [df for g in groups.values() for df in _counters(spark, tables, g)])
+
+
 def suite_frame(spark: SparkSession, tables: Mapping[str, DataFrame], contracts: Sequence[Contract]) -> DataFrame:
     """One row per contract as one lazy plan.
 
@@ -87,18 +106,15 @@ def suite_frame(spark: SparkSession, tables: Mapping[str, DataFrame], contracts:
     and the union lets Spark run all of them in one job. A contract over a
     missing table or column becomes an errored row.
     """
-    groups: dict[tuple, dict[int, Contract]] = {}
-    for position, c in enumerate(contracts):
-        group = (c.model,) if c.test in ONE_SCAN_CHECKS else (c.model, position)
-        groups.setdefault(group, {})[position] = c
-    counted = reduce(DataFrame.union, [df for g in groups.values() for df in _counters(spark, tables, g)])
     declared = spark.createDataFrame(
         [(i, c.name, c.model, c.test, c.severity) for i, c in enumerate(contracts)],
         "position int, name string, model string, test string, severity string",
     )
     # The declarations are as many rows as there are contracts in the code.
-    return counted.join(F.broadcast(declared), "position").selectExpr(
-        "position", "name", "model", "test", "severity", "failing_rows = 0 AS passed", "failing_rows"
+    return (
+        _counted(spark, tables, contracts)
+        .join(F.broadcast(declared), "position")
+        .selectExpr("position", "name", "model", "test", "severity", "failing_rows = 0 AS passed", "failing_rows")
     )
 
 
@@ -107,40 +123,47 @@ def _first_line(error: Exception) -> str:
     return str(cause if cause is not None else error).strip().splitlines()[0]
 
 
-def _detail(tables: Mapping[str, DataFrame], contract: Contract) -> str:
-    sample = violations(tables, contract).limit(1).select(F.to_json(F.struct("*"))).collect()
-    return f"first violation: {sample[0][0]}" if sample else ""
+def _result(c: Contract, failing: int, sample: str | None) -> CheckResult:
+    detail = f"first violation: {sample}" if failing and sample else ""
+    return CheckResult(c.name, c.model, c.test, c.severity, failing == 0, failing, detail)
 
 
 def _run_alone(spark: SparkSession, tables: Mapping[str, DataFrame], contract: Contract) -> CheckResult:
     """One contract by itself, so that its failure to run touches no other."""
     try:
-        failing = _own_pass(tables, 0, contract).collect()[0]["failing_rows"]
-        detail = _detail(tables, contract) if failing else ""
+        row = _own_pass(tables, 0, contract).collect()[0]
     except (KeyError, PySparkException, Py4JError) as error:
-        failing, detail = ERRORED, f"test errored: {_first_line(error)}"
-    return CheckResult(
-        contract.name, contract.model, contract.test, contract.severity, failing == 0, failing, detail
-    )
+        detail = f"test errored: {_first_line(error)}"
+        return CheckResult(contract.name, contract.model, contract.test, contract.severity, False, ERRORED, detail)
+    return _result(contract, row["failing_rows"], row["sample"])
+
+
+def _sample_row(tables: Mapping[str, DataFrame], contract: Contract) -> str | None:
+    """Any violating row of a row-level check; the scan stops at the first one."""
+    found = violations(tables, contract).limit(1).select(F.to_json(F.struct("*"))).collect()
+    return found[0][0] if found else None
 
 
 def run_suite(
     spark: SparkSession, tables: Mapping[str, DataFrame], contracts: Sequence[Contract], with_detail: bool = True
 ) -> list[CheckResult]:
-    """Results in the order of the contracts. Only counters and one sample row per failed check reach the driver."""
+    """Results in the order of the contracts. Only counters and one sample per failed check reach the driver."""
+    if not contracts:
+        return []
     try:
-        counted = {r["position"]: r["failing_rows"] for r in suite_frame(spark, tables, contracts).collect()}
+        rows = {r["position"]: r for r in _counted(spark, tables, contracts).collect()}
     except (PySparkException, Py4JError):
         # Some check fails at run time and takes the shared job with it.
         return [_run_alone(spark, tables, c) for c in contracts]
     results = []
     for position, c in enumerate(contracts):
-        failing = counted[position]
+        failing, sample = rows[position]["failing_rows"], rows[position]["sample"]
         if failing == ERRORED:
             results.append(_run_alone(spark, tables, c))
-        else:
-            detail = _detail(tables, c) if failing and with_detail else ""
-            results.append(CheckResult(c.name, c.model, c.test, c.severity, failing == 0, failing, detail))
+            continue
+        if failing and with_detail and c.test in ROW_CHECKS:
+            sample = _sample_row(tables, c)
+        results.append(_result(c, failing, sample if with_detail else None))
     return results
 
 

@@ -18,11 +18,15 @@ SAMPLE_SEGMENTS = ("automobile", "building", "furniture", "household", "machiner
 SAMPLE_CATEGORIES = ("economy", "large", "medium", "promo", "small", "standard")
 
 # Contracts that the planted defects break: blank prices, products missing from
-# the catalogue, and events that are no real sessions, so that a stage can
-# outnumber the one before it.
+# the catalogue, returns that outweigh the sales of a thin day, sales prices
+# unrelated to the catalogue's costs, and events that are no real sessions, so
+# that a stage can outnumber the one before it.
 SAMPLE_DEFECTS = (
     "not_null:stg_products.list_price",
     "relationships:stg_order_lines.product_id",
+    "non_negative:mart_daily_revenue.net_revenue",
+    "between:mart_daily_revenue.average_order_value",
+    "between:mart_category_performance.gross_margin_pct",
     "between:mart_channel_funnel.cart_rate_pct",
 )
 
@@ -42,7 +46,7 @@ def _cents_text(value: Column) -> Column:
 
 def _pick(selector: Column, values: tuple[str, ...]) -> Column:
     """The value at a zero-based position."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (selector + 1).cast("int"))
+    return F.get(F.array(*[F.lit(v) for v in values]), selector.cast("int"))
 
 
 def _with_replays(df: DataFrame, key: str) -> DataFrame:

@@ -99,8 +99,8 @@ _MODEL_ROWS = "name string, layer string, materialized string, rows bigint"
 
 def _rows_of_models(spark: SparkSession, sf_dir: str, select: list[str] | None) -> DataFrame:
     folder = scratch_dir(spark, "run")
-    raw, _ = land_raw(sample_feeds(spark, sf_dir), folder)
-    built = build_models(raw, folder, select)[1]
+    raw, _ = land_raw(spark, sample_feeds(spark, sf_dir), folder)
+    built = build_models(spark, raw, folder, select)[1]
     return spark.createDataFrame([tuple(b.values()) for b in built], _MODEL_ROWS)
 
 

@@ -23,8 +23,8 @@ TOLERANT = as_warnings(STRICT, SAMPLE_DEFECTS)
 def stored_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All models of the sample feeds, written once and read back, so that many checks do not recompute them."""
     folder = scratch_dir(spark, "models")
-    raw, _ = land_raw(sample_feeds(spark, sf_dir), folder)
-    return build_models(raw, folder)[0]
+    raw, _ = land_raw(spark, sample_feeds(spark, sf_dir), folder)
+    return build_models(spark, raw, folder)[0]
 
 
 def _check(contract: Contract, *keep: str):
