@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quarrystone.plans.registry import MARTS, MODELS, Model, chosen
 from quarrystone.quality.contracts import Contract, warehouse_contracts
 from quarrystone.quality.suite import CheckResult, QualityGateError, gate, run_suite, summary
-from quarrystone.report import RunReport, append_report, published_run
+from quarrystone.report import RunReport, append_report, published_run, write_results
 from quarrystone.session import apply_runtime_conf
 from quarrystone.sources.landing import land_all
 from quarrystone.sources.tables import export_csv, materialize_table, materialize_view, read_table
@@ -112,6 +112,7 @@ def full_refresh(
             return
         results.extend(run_suite(spark, tables, due))
         report.gates.append({"stage": stage, **summary(results)})
+        write_results(spark, results, f"{folder}/quality/{stage}")
         report.quality_failures = [r.as_dict() for r in results if not r.passed]
         if fail_on_quality_error:
             gate(results, stage)
@@ -141,12 +142,31 @@ def full_refresh(
     return report
 
 
-def open_model(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    """A materialised model of the published run."""
-    run_id = published_run(spark, warehouse)
+def open_run(spark: SparkSession, warehouse: str, run_id: str | None = None) -> dict[str, DataFrame]:
+    """The raw tables and models of a run, the published one by default, also registered for SQL by name."""
+    run_id = run_id or published_run(spark, warehouse)
     if run_id is None:
         raise LookupError(f"nothing is published in {warehouse}")
-    return read_table(spark, f"{run_folder(warehouse, run_id)}/models/{name}")
+    folder = run_folder(warehouse, run_id)
+    feeds = sorted({i for m in MODELS for i in m.inputs if i.startswith("raw_")})
+    tables = {name: materialize_view(read_table(spark, f"{folder}/raw/{name}"), name) for name in feeds}
+    for model in MODELS:
+        df = model.build(*[tables[i] for i in model.inputs])
+        if model.materialized == "table":
+            # The plan only lends its schema, so that text in partition names stays text.
+            df = read_table(spark, f"{folder}/models/{model.name}", like=df)
+        tables[model.name] = materialize_view(df, model.name)
+    return tables
+
+
+def open_model(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+    """One raw table or model of the published run."""
+    return open_run(spark, warehouse)[name]
+
+
+def recheck(spark: SparkSession, warehouse: str, contracts: Sequence[Contract] | None = None) -> list[CheckResult]:
+    """Run contracts against the published run without building anything."""
+    return run_suite(spark, open_run(spark, warehouse), warehouse_contracts() if contracts is None else contracts)
 
 
 def main(argv: Sequence[str] | None = None) -> int:

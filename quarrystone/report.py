@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-_SCHEMA = """
+from quarrystone.quality.suite import CheckResult
+
+_RESULT = """name: string, model: string, test: string, severity: string, passed: boolean,
+        failing_rows: bigint, detail: string"""
+
+_SCHEMA = f"""
     run_id string, started_at string, status string, published boolean, duration_s double,
     extracted map<string, bigint>,
     models array<struct<name: string, layer: string, materialized: string, rows: bigint>>,
     gates array<struct<stage: string, total: bigint, passed: bigint, errors: bigint, warnings: bigint>>,
-    quality_failures array<struct<name: string, model: string, test: string, severity: string, passed: boolean,
-        failing_rows: bigint, detail: string>>,
+    quality_failures array<struct<{_RESULT}>>,
     exports map<string, bigint>
 """
 
@@ -35,6 +40,12 @@ class RunReport:
         return spark.createDataFrame([vars(self)], _SCHEMA)
 
 
+def write_results(spark: SparkSession, results: Sequence[CheckResult], path: str) -> None:
+    """All check results of a stage, passed ones included."""
+    rows = spark.createDataFrame([r.as_dict() for r in results], f"struct<{_RESULT}>")
+    rows.coalesce(1).write.mode("overwrite").json(path)
+
+
 def append_report(spark: SparkSession, report: RunReport, warehouse: str) -> None:
     report.frame(spark).coalesce(1).write.mode("append").json(f"{warehouse}/reports")
 

@@ -43,11 +43,12 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for tables written between two steps.
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``. Only where
-    that is unset, as in tests on one machine, a local folder is used.
+    A cluster names its shared folder in ``spark.checkpoint.dir``. Only a
+    session on one machine, as in tests, gets a local folder where that is unset.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="run-")
-    return f"{root}/{label}-{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="run-")
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -9,6 +9,8 @@ Each feed reads its table once and keeps every row of it.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 FEEDS = ("raw_customers", "raw_products", "raw_orders", "raw_order_lines", "raw_web_events")
@@ -31,16 +33,22 @@ SAMPLE_DEFECTS = (
 )
 
 
+@cache
+def _splits(path: str) -> int:
+    """How many tasks would read a table; looked up once per path."""
+    return SparkSession.active().read.parquet(path).rdd.getNumPartitions()
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A bundled table.
 
-    A table in fewer files than there are cores, as the bundled ones are, would
-    be read by one task and leave the other cores idle, so its rows are spread
-    by its leading key columns first. A table in many files is read as it is.
+    A table of fewer splits than there are cores, as the bundled ones are, would
+    be read by few tasks and leave the other cores idle, so its rows are spread
+    by its leading key columns first. A larger table is read as it is.
     """
-    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores, *table.columns[:3]) if len(table.inputFiles()) < cores else table
+    path = f"{sf_dir}/{name}.parquet"
+    table, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
+    return table.repartition(cores, *table.columns[:3]) if _splits(path) < cores else table
 
 
 def _text(value: Column) -> Column:

@@ -4,12 +4,12 @@ from types import SimpleNamespace
 
 import pytest
 
-from quarrystone.job import build_models, full_refresh, land_raw, main, open_model
+from quarrystone.job import build_models, full_refresh, land_raw, main, open_model, recheck
 from quarrystone.quality.suite import QualityGateError
 from quarrystone.report import published_run, reports
 from quarrystone.session import scratch_dir
 from quarrystone.sources.sample_feeds import sample_feeds
-from quarrystone.sources.tables import table_exists
+from quarrystone.sources.tables import adhoc_sql, table_exists
 from workload.quality import STRICT, TOLERANT
 
 SF = "/root/testdata/sf0.001"
@@ -32,7 +32,15 @@ def test_blocked_run_publishes_nothing_and_the_next_one_does(spark, tmp_path):
     assert [g["stage"] for g in report.gates] == ["staging", "final"]
     assert report.gates[-1]["total"] == 58
     assert set(report.exports) == {m["name"] for m in report.models if m["layer"] == "marts"}
-    assert open_model(spark, warehouse, "fct_orders").count() == 1500
+    facts = open_model(spark, warehouse, "fct_orders")
+    assert (facts.count(), dict(facts.dtypes)["order_month"], facts.columns[:2]) == (
+        1500,
+        "string",
+        ["order_id", "customer_key"],
+    )
+    assert [r.failing_rows for r in recheck(spark, warehouse, STRICT)][:3] == [0, 0, 0]
+    assert adhoc_sql(spark, "SELECT count(*) AS n FROM stg_customers").collect()[0].n == 150
+    assert len(spark.read.json(f"{warehouse}/runs/{report.run_id}/quality/final").collect()) == 58
     header = next(tmp_path.glob(f"wh/runs/{report.run_id}/exports/mart_channel_funnel/*.csv")).read_text().splitlines()[0]
     assert header.startswith("event_month,sessions,page_views")
     logged = {r.status: r.published for r in reports(spark, warehouse).collect()}
@@ -64,6 +72,14 @@ def test_scratch_folder_follows_the_checkpoint_setting():
     assert first.startswith("/shared/checkpoints/x-") and first != second
 
 
+def test_a_cluster_without_a_shared_folder_is_refused():
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=SimpleNamespace(master="yarn")
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(cluster, "x")
+
+
 def test_command_line_needs_its_roots():
     with pytest.raises(SystemExit):
         main([])
