@@ -1,6 +1,6 @@
 """The full refresh as one Spark application: land, stage, gate, build, gate, publish, export.
 
-    spark-submit -m quarrystone.job --feeds s3://landing --warehouse s3://warehouse
+    spark-submit --py-files quarrystone.zip quarrystone/job.py --feeds s3://landing --warehouse s3://warehouse
 
 Every run writes into a folder of its own. A run is published by appending its
 report, once all gates have passed, so readers never see a half-built or

@@ -124,7 +124,7 @@ def _first_line(error: Exception) -> str:
 
 
 def _result(c: Contract, failing: int, sample: str | None) -> CheckResult:
-    detail = f"first violation: {sample}" if failing and sample else ""
+    detail = f"for example {sample}" if failing and sample else ""
     return CheckResult(c.name, c.model, c.test, c.severity, failing == 0, failing, detail)
 
 
@@ -133,7 +133,7 @@ def _run_alone(spark: SparkSession, tables: Mapping[str, DataFrame], contract: C
     try:
         row = _own_pass(tables, 0, contract).collect()[0]
     except (KeyError, PySparkException, Py4JError) as error:
-        detail = f"test errored: {_first_line(error)}"
+        detail = f"check errored, {_first_line(error)}"
         return CheckResult(contract.name, contract.model, contract.test, contract.severity, False, ERRORED, detail)
     return _result(contract, row["failing_rows"], row["sample"])
 
@@ -193,5 +193,5 @@ def gate(results: Sequence[CheckResult], stage: str) -> dict[str, int]:
     failed = [r for r in results if not r.passed and r.severity == "error"]
     if failed:
         lines = "\n".join(f"  {r.name}: {r.failing_rows} failing rows {r.detail}".rstrip() for r in failed)
-        raise QualityGateError(f"data quality failed at {stage}:\n{lines}")
+        raise QualityGateError(f"contracts broken at the {stage} gate:\n{lines}")
     return summary(results)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> int:
@@ -46,11 +46,22 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def _csv_text(df: DataFrame, name: str) -> Column:
+    """A column as it goes into CSV: large doubles without an exponent, all else as it is."""
+    column = F.col(f"`{name}`")
+    if dict(df.dtypes)[name] != "double":
+        return column
+    digits = F.regexp_replace(column.cast("decimal(38,10)").cast("string"), r"(\.\d+?)0*$", "$1")
+    is_large = (F.abs(column) >= 1e7) & (F.abs(column) < 1e16)
+    return F.when(is_large, digits).otherwise(column.cast("string")).alias(name)
+
+
 def export_csv(df: DataFrame, path: str) -> int:
     """Replace a folder of CSV files with header and return the row count, taken while writing."""
     seen = Observation("rows exported")
     (
-        df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        df.select(*[_csv_text(df, name) for name in df.columns])
+        .observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(path)

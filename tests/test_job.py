@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 def test_blocked_run_publishes_nothing_and_the_next_one_does(spark, tmp_path):
     warehouse, feeds = str(tmp_path / "wh"), sample_feeds(spark, SF)
     assert published_run(spark, warehouse) is None
-    with pytest.raises(QualityGateError, match="failed at staging"):
+    with pytest.raises(QualityGateError, match="at the staging gate"):
         full_refresh(spark, feeds, warehouse, STRICT)
     with pytest.raises(LookupError):
         open_model(spark, warehouse, "fct_orders")

@@ -90,6 +90,15 @@ def test_export_replaces_and_has_a_header(spark, tmp_path):
     assert part.read_text().splitlines() == ["a,b", "1,b"]
 
 
+def test_export_writes_large_amounts_without_exponent(spark, tmp_path):
+    values = [0.1, 5.0, 12345678.9, -98765432101.25, 1e15, 0.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)
+    export_csv(df, str(tmp_path / "out"))
+    (part,) = (tmp_path / "out").glob("*.csv")
+    texts = part.read_text().split("\n")[1:-1]
+    assert texts[:6] == [repr(v) for v in values[:6]]
+
+
 def test_partitioned_table_keeps_types_and_order(spark, tmp_path):
     df = spark.createDataFrame([("2024-01", 1), ("2024-02", 2), (None, 3)], "m string, x int")
     path = str(tmp_path / "t")
