@@ -50,7 +50,7 @@ def land_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> D
     if not names:
         raise ValueError(f"{path} has no header row")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BAD_LINE]])
-    lines = reader.options(columnNameOfCorruptRecord=_BAD_LINE, enforceSchema=True).schema(schema).csv(path)
+    lines = reader.options(columnNameOfCorruptRecord=_BAD_LINE, enforceSchema=False).schema(schema).csv(path)
     # The reader yields NULL for an empty and for a missing field alike. Only a
     # line with too few or too many fields keeps its text, and the delimiters
     # outside quotes then tell how many fields it has.

@@ -43,12 +43,27 @@ def test_csv_line_break_in_a_quoted_field(spark, tmp_path, multiline):
     assert _rows(land_csv(spark, path, multiline)) == [("1", "x\ny"), ("2", "z")]
 
 
+@pytest.mark.parametrize("multiline", [False, True])
+def test_csv_windows_lines(spark, tmp_path, multiline):
+    path = _file(tmp_path, "in.csv", "a,b\r\n1,x\r\n2,\r\n")
+    assert _rows(land_csv(spark, path, multiline)) == [("1", "x"), ("2", "")]
+
+
 def test_csv_header_only_is_empty_and_no_header_raises(spark, tmp_path):
     assert land_csv(spark, _file(tmp_path, "h.csv", "a,b\n")).count() == 0
     with pytest.raises(ValueError, match="no header"):
         land_csv(spark, _file(tmp_path, "e.csv", ""))
 
 
+def test_csv_files_of_one_folder_must_share_their_header(spark, tmp_path):
+    _file(tmp_path, "d/1.csv", "a,b\n1,x\n")
+    _file(tmp_path, "d/2.csv", "a,b\n2,y\n")
+    assert _rows(land_csv(spark, str(tmp_path / "d"))) == [("1", "x"), ("2", "y")]
+    _file(tmp_path, "d/3.csv", "b,a\nz,3\n")
+    with pytest.raises(Exception, match="(?i)header|FAILED_READ_FILE"):
+        land_csv(spark, str(tmp_path / "d")).collect()
+
+
 def test_jsonl_first_record_names_the_columns(spark, tmp_path):
     text = '{"a": 1, "b": "x"}\n\n{"a": 2.50}\n{"b": null, "a": true}\n{"a": {"k": 1}, "z": 3}\n'
     df = land_jsonl(spark, _file(tmp_path, "in.jsonl", text))
