@@ -10,7 +10,7 @@ from quarrystone.plans.registry import MODELS
 from quarrystone.quality.suite import QualityGateError
 from quarrystone.report import reports
 from quarrystone.session import scratch_dir
-from quarrystone.sources.landing import SOURCES, land, land_all, land_csv, land_jsonl, row_counts
+from quarrystone.sources.landing import SOURCES, land_all, land_csv, land_jsonl, row_counts
 from quarrystone.sources.sample_feeds import FEEDS, sample_feeds
 from quarrystone.sources.tables import (
     adhoc_sql,
@@ -18,7 +18,6 @@ from quarrystone.sources.tables import (
     export_jsonl,
     materialize_table,
     materialize_view,
-    read_table,
     table_exists,
 )
 from workload.base import Inputs, Query, over, query
