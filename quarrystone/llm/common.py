@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -61,6 +64,24 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches with at most ``limit`` bytes or items in a column, or one row.
+
+    Python objects made from a batch take a multiple of its size, so large
+    batches are worked off in parts.
+    """
+    for batch in batches:
+        values = batch.column(column)
+        length = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+        ends = np.cumsum(pc.fill_null(length(values), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 @functools.lru_cache(maxsize=4)
 def rank_file(path: str) -> dict[bytes, int]:
     """Byte strings and their ranks from a file of base64 and number lines."""

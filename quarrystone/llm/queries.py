@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import bpe
+from quarrystone.llm import bpe, language, secrets, topk, toxicity
 
-QUERIES = {**bpe.QUERIES}
+QUERIES = {**bpe.QUERIES, **secrets.QUERIES, **language.QUERIES, **topk.QUERIES, **toxicity.QUERIES}
