@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarrystone.llm.common import Query, rank_file, schema, table, whole_text
+from quarrystone.llm.common import Query, rank_file, schema, slices, table, whole_text
 
 CHUNK = 16_384
 OVERLAP = 512
@@ -127,7 +127,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids_column: str = "ids") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings = _byte_strings(vocabulary)
-        for batch in batches:
+        for batch in slices(batches, ids_column):
             ids = batch.column(ids_column)
             out = [None if row is None else b"".join([strings[i] for i in row]) for row in _lists(ids)]
             yield pa.RecordBatch.from_arrays(
@@ -139,8 +139,8 @@ def decode(encoded: DataFrame, vocabulary: str, ids_column: str = "ids") -> Data
 
 def _lists(column: pa.Array) -> Iterator[list[int] | None]:
     """Rows of a list column, one after another."""
-    offsets, values, valid = column.offsets.to_numpy(), column.values.to_numpy(), column.is_valid().to_pylist()
-    for i, ok in enumerate(valid):
+    offsets, values, valid = column.offsets.to_numpy(), column.values.to_numpy(), column.is_valid()
+    for i, ok in enumerate(valid.to_pylist()):
         yield values[offsets[i] : offsets[i + 1]].tolist() if ok else None
 
 
@@ -149,7 +149,7 @@ def _encoder(vocabulary: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(vocabulary)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             at = batch.schema.get_field_index("text")
             ids = pa.array([encoding.encode_ordinary(t.as_py()) for t in batch.column(at)], pa.list_(pa.int32()))
             kept = [(n, c) for i, (n, c) in enumerate(zip(batch.schema.names, batch.columns)) if i != at]
@@ -163,7 +163,7 @@ def _cutter(chunk: int, overlap: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = chunk - overlap
-        for batch in batches:
+        for batch in slices(batches, "text"):
             for i in range(batch.num_rows):
                 text = batch.column(2)[i].as_py()
                 starts = range(0, max(len(text) - overlap, 1), step)
@@ -183,7 +183,7 @@ def _boundary_finder(chunk: int, overlap: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern, step = _pattern(), chunk - overlap
-        for batch in batches:
+        for batch in slices(batches, "text"):
             heads, tails = [], []
             for value in batch.column("text"):
                 text = value.as_py()
@@ -208,7 +208,7 @@ def _digester(size: int):
 
         sha = lambda b: hashlib.sha256(b).hexdigest()
         names = list(map(str, range(size)))
-        for batch in batches:
+        for batch in slices(batches, "ids"):
             ids = [sha(",".join([names[i] for i in row]).encode()) for row in _lists(batch.column("ids"))]
             decoded = [sha(b.as_py()) for b in batch.column("bytes")]
             yield pa.RecordBatch.from_arrays(
