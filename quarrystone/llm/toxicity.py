@@ -1,12 +1,11 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries hold the same ordinary words first; one adds words
-over-represented in toxic texts, the other more of the ordinary ones. A window
-(one word, or 64 characters of a longer one) is compressed with either
-dictionary behind a carrier that both know, and the difference of the lengths
-says whose words it is made of. How large a difference counts, and how the
-counts of a document turn into a score, is calibrated on labelled documents
-that took no part in the dictionaries.
+One zstandard dictionary is made of words of ordinary texts; the other holds the
+same and, nearest to what is compressed, the words that toxic texts hold clearly
+more often. A window (one word, or 64 characters of a longer one) is compressed
+with either dictionary, and the difference of the lengths is what toxic wording
+saves. What each size of the difference weighs in the score is calibrated on
+labelled documents that took no part in the dictionaries.
 """
 
 from __future__ import annotations
@@ -23,12 +22,17 @@ from quarrystone.llm.common import Query, fold, schema, slices, stored, table, w
 
 # The classifier is fitted on at most so many labelled documents of either class, first by a hash of the id.
 SAMPLE = 6_000
-DICTIONARY_BYTES = 16_384
-LEAST_DOCUMENTS = 2
+DICTIONARY_BYTES = 8_192
+LEAST_DOCUMENTS = 3
+# Twice the log likelihood ratio from which a word's lean to toxic texts isn't put down to chance.
+LEAST_EVIDENCE = 16.0
+# ... and its share of the strongest word's: below are words of passages that several toxic texts repeat.
+EVIDENCE_SHARE = 0.06
 WINDOW = 64
 THRESHOLD = 0.3
-LEVEL = 12
-CARRIER = " window window "
+LEVEL = 3
+# Every window stands between these: very short input is stored as it is, and no match begins in its last bytes.
+HEAD, TAIL = " window window ", " qzx qzx qzx"
 DIFFERENCES = (1, 2, 3, 4)
 
 
@@ -38,7 +42,6 @@ class Model:
 
     ordinary: bytes
     toxic: bytes
-    difference: int
     weights: tuple[float, ...]
 
     def score(self, features: np.ndarray) -> np.ndarray:
@@ -66,14 +69,14 @@ class Windows:
         if known is None:
             if len(self._known) >= self.LIMIT:
                 self._known.clear()
-            data = (CARRIER + window + " ").encode("utf-8", "surrogatepass")
+            data = (HEAD + window + TAIL).encode("utf-8", "surrogatepass")
             known = self._known[window] = len(self._either[0](data)) - len(self._either[1](data))
         return known
 
     def counts(self, text: str) -> list[int]:
-        """Windows by difference, for each of DIFFERENCES, then the number of windows."""
+        """Distinct windows by difference, for each of DIFFERENCES, then the number of distinct windows."""
         out = [0] * (len(DIFFERENCES) + 1)
-        for word in text.lower().split():
+        for word in set(text.lower().split()):
             parts = [word] if len(word) <= WINDOW else [word[i : i + WINDOW] for i in range(0, len(word), WINDOW // 2)]
             out[-1] += len(parts)
             for part in parts:
@@ -83,10 +86,10 @@ class Windows:
         return out
 
 
-def features(counts: np.ndarray, difference: int) -> np.ndarray:
-    """Per document: constant, windows of at least this difference (log), and their share."""
-    hits = counts[:, difference - 1 : -1].sum(axis=1)
-    return np.column_stack([np.ones(len(counts)), np.log1p(hits), np.minimum(hits, 3), hits / np.maximum(counts[:, -1], 1)])
+def features(counts: np.ndarray) -> np.ndarray:
+    """Per document: constant, windows by difference (log), and the share of windows with a clear one."""
+    share = counts[:, 1:-1].sum(axis=1) / np.maximum(counts[:, -1], 1)
+    return np.column_stack([np.ones(len(counts)), np.log1p(counts[:, :-1]), np.minimum(share, 0.1) * 10])
 
 
 def sample(labels: DataFrame, bound: int = SAMPLE) -> DataFrame:
@@ -102,12 +105,26 @@ def _labelled(labels: DataFrame) -> DataFrame:
     return known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
 
 
+def _family(words: list[str]) -> int:
+    """A value that copies of a text mostly share: the least hash of its five-word runs, or of a shorter text."""
+    import xxhash
+
+    runs = range(max(1, len(words) - 4))
+    return min(xxhash.xxh64_intdigest(" ".join(words[i : i + 5]).encode("utf-8", "surrogatepass")) for i in runs) - 2**63
+
+
+def _with_family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        families = pa.array([_family(t.as_py().lower().split()) for t in batch.column("text")], pa.int64())
+        yield pa.RecordBatch.from_arrays([*batch.columns, families], names=[*batch.schema.names, "family"])
+
+
 def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct words of each text with the text's other columns."""
     for batch in slices(batches, "text"):
-        words = [[w for w in set(t.as_py().lower().split()) if len(w) <= WINDOW] for t in batch.column("text")]
-        row = pa.array([i for i, found in enumerate(words) for _ in found], pa.int32())
-        found = pa.array([w for found in words for w in found], pa.string())
+        held = [[w for w in set(t.as_py().lower().split()) if len(w) <= WINDOW] for t in batch.column("text")]
+        row = pa.array([i for i, found in enumerate(held) for _ in found], pa.int32())
+        found = pa.array([w for found in held for w in found], pa.string())
         yield pa.RecordBatch.from_arrays(
             [found, batch.column("toxic").take(row), batch.column("half").take(row)], names=["word", "toxic", "half"]
         )
@@ -115,23 +132,24 @@ def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _dictionaries(counted: DataFrame, in_toxic: Column, in_ordinary: Column, n1: int, n0: int) -> tuple[bytes, bytes]:
     """Contents of the ordinary and the toxic dictionary from document counts of words."""
-    p1, p0 = (in_toxic + 0.5) / (n1 + 1), (in_ordinary + 0.5) / (n0 + 1)
-    enough = in_toxic + in_ordinary >= LEAST_DOCUMENTS
-    lean = {
-        "toxic": (p1 > 4 * p0, p1 * F.log(p1 / p0)),
-        "ordinary": (p0 > p1, p0 * F.log(p0 / p1)),
-        "common": (F.lit(True), p0),
-    }
-    content = {}
-    for name, (clear, rank) in lean.items():
-        best = counted.where(enough & clear).orderBy(rank.desc(), "word").limit(DICTIONARY_BYTES // 8)
-        words = [r.word for r in best.select("word").collect()]
-        while words and len(" ".join(words).encode()) > DICTIONARY_BYTES:
-            words = words[: len(words) * 9 // 10]
-        # The most telling words come last, where matches are nearest.
-        content[name] = (" " + " ".join(reversed(words)) + " ").encode("utf-8", "surrogatepass")
-    start = CARRIER.encode() * 2 + content["common"]
-    return start + content["ordinary"] + CARRIER.encode(), start + content["toxic"] + CARRIER.encode()
+    p1, p0, p = (in_toxic + 0.5) / (n1 + 1), (in_ordinary + 0.5) / (n0 + 1), (in_toxic + in_ordinary + 1) / (n1 + n0 + 2)
+    evidence = 2 * (in_toxic * F.log(p1 / p) + in_ordinary * F.log(p0 / p))
+    lean = (in_toxic >= LEAST_DOCUMENTS) & (p1 > 4 * p0)
+    strongest = counted.where(lean).agg(F.max(evidence)).first()[0] or 0.0
+    clear = lean & (evidence >= max(LEAST_EVIDENCE, EVIDENCE_SHARE * strongest))
+
+    def content(rows: DataFrame, rank: Column) -> str:
+        """The first words by rank that fit, the most telling last, where matches are nearest."""
+        best = [r.word for r in rows.orderBy(rank.desc(), "word").limit(DICTIONARY_BYTES // 8).select("word").collect()]
+        while len(" ".join(best).encode("utf-8", "surrogatepass")) > DICTIONARY_BYTES:
+            best = best[: len(best) * 9 // 10]
+        return " ".join(reversed(best))
+
+    ordinary = HEAD * 2 + content(counted.where((in_ordinary > 0) & (p1 <= 4 * p0)), p0) + " "
+    toxic = content(counted.where(clear), p1 * F.log(p1 / p0))
+    # Forwards and back, so that an entry overwritten in the match tables has a second chance.
+    toxic = " ".join([*reversed(toxic.split(" ")), toxic]) + " "
+    return (ordinary + HEAD).encode("utf-8", "surrogatepass"), (ordinary + toxic + HEAD).encode("utf-8", "surrogatepass")
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
@@ -142,11 +160,12 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     reach the driver, as do a handful of numbers per calibrated document. The
     calibration sees each half through dictionaries of the other half.
     """
-    nothing = Model(b"", b"", 1, (-30.0, 0.0, 0.0, 0.0))
+    nothing = Model(b"", b"", ())
     totals = {r.toxic: r.n for r in _labelled(labels).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen = F.broadcast(sample(labels, bound))
     texts = docs.select("doc_id", whole_text().alias("text")).join(chosen, "doc_id").select("text", "toxic", "half")
-    texts = stored(texts, "toxicity-sample")
+    # Copies of one text would lend its rare words the weight of many documents.
+    texts = stored(texts.mapInArrow(_with_family, schema(texts, texts.columns, "family long")).dropDuplicates(["toxic", "family"]), "toxicity-sample")
     sizes = {(r.toxic, r.half): r.n for r in texts.groupBy("toxic", "half").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 4:
         return nothing
@@ -168,24 +187,21 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     x, y = np.array(counts, float), np.array(marks, float)
     # The sample holds the classes in other shares than the labels do.
     weigh = np.where(y == 1, totals[1] / y.sum(), totals[0] / (1 - y).sum())
-    fits = [(d, *_logistic(features(x, d), y, weigh / weigh.mean())) for d in DIFFERENCES]
-    difference, weights, _ = min(fits, key=lambda f: f[2])
+    weights = _logistic(features(x), y, weigh / weigh.mean())
     both = lambda c: F.col(f"n{c}0") + F.col(f"n{c}1")
     ordinary, toxic = _dictionaries(counted, both(1), both(0), sizes[1, 0] + sizes[1, 1], sizes[0, 0] + sizes[0, 1])
-    return Model(ordinary, toxic, difference, tuple(weights))
+    return Model(ordinary, toxic, tuple(weights))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weigh: np.ndarray) -> tuple[list[float], float]:
-    """Weights by Newton steps under a small penalty, and the mean log loss."""
+def _logistic(x: np.ndarray, y: np.ndarray, weigh: np.ndarray) -> list[float]:
+    """Weights by Newton steps under a small penalty."""
     w = np.zeros(x.shape[1])
     penalty = np.diag([1e-6, *[1e-2] * (x.shape[1] - 1)])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         gradient = x.T @ (weigh * (p - y)) + penalty @ w
         w -= np.linalg.solve((x * (weigh * p * (1 - p) + 1e-9)[:, None]).T @ x + penalty + 1e-9 * np.eye(len(w)), gradient)
-        w = np.clip(w, -60, 60)
-    p = np.clip(1 / (1 + np.exp(-np.clip(x @ w, -30, 30))), 1e-9, 1 - 1e-9)
-    return w.tolist(), float(-(weigh * (y * np.log(p) + (1 - y) * np.log(1 - p))).mean())
+    return w.tolist()
 
 
 def _counter(ordinary: bytes, toxic: bytes, kept: str):
@@ -213,7 +229,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 scores = np.zeros(batch.num_rows)
             else:
                 counts = np.array([windows.counts(t.as_py() or "") for t in batch.column(at)], float)
-                scores = model.score(features(counts.reshape(batch.num_rows, -1), model.difference))
+                scores = model.score(features(counts.reshape(batch.num_rows, -1)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*names, "toxicity"])
 
     return docs.mapInArrow(run, schema(docs, names, "toxicity double"))
