@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import bpe, language, mixing, secrets, topk, toxicity
+from quarrystone.llm import bpe, chat, language, mixing, quality, secrets, topk, toxicity
 
-QUERIES = {**bpe.QUERIES, **secrets.QUERIES, **language.QUERIES, **mixing.QUERIES, **topk.QUERIES, **toxicity.QUERIES}
+QUERIES = {**bpe.QUERIES, **secrets.QUERIES, **language.QUERIES, **chat.QUERIES, **quality.QUERIES, **mixing.QUERIES, **topk.QUERIES, **toxicity.QUERIES}
