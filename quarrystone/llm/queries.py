@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import bpe, chat, dedup, language, mixing, quality, secrets, topk, toxicity
+from quarrystone.llm import bpe, chat, dedup, language, mixing, quality, scoring, secrets, topk, toxicity
 
-QUERIES = {**bpe.QUERIES, **secrets.QUERIES, **language.QUERIES, **chat.QUERIES, **quality.QUERIES, **mixing.QUERIES, **dedup.QUERIES, **topk.QUERIES, **toxicity.QUERIES}
+QUERIES = {**bpe.QUERIES, **secrets.QUERIES, **language.QUERIES, **chat.QUERIES, **quality.QUERIES, **scoring.QUERIES, **mixing.QUERIES, **dedup.QUERIES, **topk.QUERIES, **toxicity.QUERIES}
