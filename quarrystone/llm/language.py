@@ -63,7 +63,7 @@ def trigrams(text: str) -> np.ndarray:
 def _counts(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values in order and how often each occurs."""
     ordered = np.sort(grams)
-    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
     return ordered[at], np.diff(np.append(at, len(ordered)))
 
 
