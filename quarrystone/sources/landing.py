@@ -2,59 +2,79 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 _BAD_LINE = "__unparsed_line"
+# A whole quoted field, and a quoted field that its line does not end.
+_QUOTED = r'(^|,)"(?:[^"]|"")*"(?=,|$)'
+_OPEN_QUOTE = r'(^|,)"'
 
 
 @dataclass(frozen=True)
 class Source:
+    """A feed and what is declared about it: a field may hold line breaks, records have these columns."""
+
     table: str
     path: str
     fmt: str = "csv"
+    multiline: bool = False
+    columns: tuple[str, ...] | None = None
 
 
-# The five feeds and where they lie under the landing root.
+# The five feeds, where they lie under the landing root, and the keys of the JSON records.
 SOURCES = (
     Source("raw_customers", "crm/customers.csv"),
     Source("raw_products", "catalog/products.csv"),
     Source("raw_orders", "orders/orders.csv"),
     Source("raw_order_lines", "orders/order_lines.csv"),
-    Source("raw_web_events", "web/events.jsonl", fmt="jsonl"),
+    Source(
+        "raw_web_events",
+        "web/events.jsonl",
+        fmt="jsonl",
+        columns=("event_id", "customer_id", "event_type", "occurred_at", "session_id", "device"),
+    ),
 )
 
 
-def has_split_records(spark: SparkSession, path: str) -> bool:
-    """True when some quoted field spans lines: its first line then has an odd number of quotes."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
-
-
-def land_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
+def land_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """A CSV file or folder as text columns named by its header.
 
     An empty field is ``''`` and a field missing at the end of a short line is
-    NULL; surplus fields are dropped. Files are split between tasks unless a
-    quoted field holds a line break. ``multiline=None`` finds that out with one
-    scan; pass True or False to save it.
+    NULL; surplus fields are dropped. Only a line without any character is
+    skipped; a line of spaces is a short record. Every file of a folder begins
+    with the same header.
+
+    ``multiline`` declares that a quoted field may hold a line break; such a
+    file is read by one task. Other files are split between tasks, and a record
+    that breaks the declaration raises. Both ways give the same rows.
     """
-    if multiline is None:
-        multiline = has_split_records(spark, path)
-    reader = spark.read.options(header=True, escape='"', emptyValue="", multiLine=multiline, mode="PERMISSIVE")
-    names = reader.csv(path).columns
+    names = spark.read.options(header=True, escape='"').csv(path).columns
     if not names:
         raise ValueError(f"{path} has no header row")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BAD_LINE]])
-    lines = reader.options(columnNameOfCorruptRecord=_BAD_LINE, enforceSchema=False).schema(schema).csv(path)
-    # The reader yields NULL for an empty and for a missing field alike. Only a
+    options = {"escape": '"', "emptyValue": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD_LINE}
+    if multiline:
+        reader = spark.read.options(header=True, enforceSchema=False, multiLine=True, **options)
+        lines = reader.schema(schema).csv(path)
+    else:
+        # Spark's own line reader would skip lines of spaces, so lines come as text and are parsed one by one.
+        text = spark.read.text(path).select(
+            "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+        )
+        body = text.where("value != ''").mapInArrow(_without_headers(names), "value string")
+        whole = F.when(_is_open(F.col("value")), F.raise_error(F.concat(F.lit("a quoted field spans lines, declare the source multiline: "), "value")))
+        parsed = F.from_csv(whole.otherwise(F.col("value")), _ddl(schema), options)
+        lines = body.select(parsed.alias("r")).select("r.*")
+    # The parser yields NULL for an empty and for a missing field alike. Only a
     # line with too few or too many fields keeps its text, and the delimiters
     # outside quotes then tell how many fields it has.
-    bare = F.regexp_replace(F.col(_BAD_LINE), '"[^"]*"', "")
+    bare = F.regexp_replace(F.col(_BAD_LINE), _QUOTED, "$1")
     present = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     return lines.select(
         *[
@@ -64,20 +84,57 @@ def land_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> D
     )
 
 
-def first_record_keys(spark: SparkSession, path: str) -> list[str]:
-    first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
-    if not first:
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` string" for f in schema.fields)
+
+
+def _is_open(line: Column) -> Column:
+    """True for a line that ends inside a quoted field."""
+    return F.contains(line, F.lit('"')) & F.regexp_replace(line, _QUOTED, "$1").rlike(_OPEN_QUOTE)
+
+
+def _without_headers(names: Sequence[str]):
+    """Drops the first line of every file, which must be the header; nothing but a file's first line is one.
+
+    Rows of one file part come together and in order, but no built-in function
+    knows which of them comes first.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import csv
+
+        last = None
+        for batch in batches:
+            files, starts = batch.column("file").to_pylist(), batch.column("start").to_pylist()
+            keep = [True] * batch.num_rows
+            for i, part in enumerate(zip(files, starts)):
+                if part != last and part[1] == 0:
+                    header = next(csv.reader([batch.column("value")[i].as_py().removeprefix("\ufeff")]))
+                    if header != list(names):
+                        raise ValueError(f"{part[0]} has the header {header}, not {list(names)}")
+                    keep[i] = False
+                last = part
+            yield pa.RecordBatch.from_arrays([pc.filter(batch.column("value"), pa.array(keep, pa.bool_()))], names=["value"])
+
+    return run
+
+
+def record_keys(spark: SparkSession, path: str) -> list[str]:
+    """The keys that occur in any record, by name."""
+    records = spark.read.text(path).where(F.trim("value") != "")
+    keys = records.select(F.explode_outer(F.json_object_keys("value")).alias("key")).distinct().collect()
+    if not keys:
         raise ValueError(f"{path} is empty")
-    return list(json.loads(first[0]["value"]))
+    return sorted(r["key"] for r in keys if r["key"] is not None)
 
 
 def land_jsonl(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """JSON lines as text columns; the first record names them unless ``columns`` does.
+    """JSON lines as text columns; without declared ``columns`` every key of any record is one.
 
     Blank lines are skipped, a missing key or JSON null is ``''``, numbers keep
     the text they have in the file and a malformed line raises.
     """
-    names = list(columns) if columns else first_record_keys(spark, path)
+    names = list(columns) if columns else record_keys(spark, path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     records = spark.read.schema(schema).options(mode="FAILFAST").json(path)
     return records.select(*[F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names])
@@ -85,7 +142,7 @@ def land_jsonl(spark: SparkSession, path: str, columns: Sequence[str] | None = N
 
 def land(spark: SparkSession, root: str, source: Source) -> DataFrame:
     path = f"{root.rstrip('/')}/{source.path}"
-    return land_jsonl(spark, path) if source.fmt == "jsonl" else land_csv(spark, path)
+    return land_jsonl(spark, path, source.columns) if source.fmt == "jsonl" else land_csv(spark, path, source.multiline)
 
 
 def land_all(spark: SparkSession, root: str, sources: Sequence[Source] = SOURCES) -> dict[str, DataFrame]:

@@ -47,13 +47,26 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def _csv_text(df: DataFrame, name: str) -> Column:
-    """A column as it goes into CSV: large doubles without an exponent, all else as it is."""
+    """A column as it goes into CSV: doubles in plain decimal notation, all else as it is.
+
+    The shortest text of a double is taken apart and its digits are placed by
+    the exponent, so the plain text reads back to the same double.
+    """
     column = F.col(f"`{name}`")
     if dict(df.dtypes)[name] != "double":
         return column
-    digits = F.regexp_replace(column.cast("decimal(38,10)").cast("string"), r"(\.\d+?)0*$", "$1")
-    is_large = (F.abs(column) >= 1e7) & (F.abs(column) < 1e16)
-    return F.when(is_large, digits).otherwise(column.cast("string")).alias(name)
+    text = column.cast("string")
+    sign = F.when(F.startswith(text, F.lit("-")), "-").otherwise("")
+    head = F.regexp_extract(text, r"^-?(\d+)\.(\d+)E(-?\d+)$", 1)
+    tail = F.regexp_replace(F.regexp_extract(text, r"^-?(\d+)\.(\d+)E(-?\d+)$", 2), "^0$", "")
+    power = F.regexp_extract(text, r"^-?(\d+)\.(\d+)E(-?\d+)$", 3).cast("int")
+    digits = F.concat(head, tail)
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    whole = F.rpad(digits, F.greatest(power + 1, F.length(digits)), F.lit("0"))
+    rest = F.substring(whole, power + 2, F.length(whole))
+    large = F.concat(F.substring(whole, F.lit(1), power + 1), F.lit("."), F.when(rest == "", "0").otherwise(rest))
+    plain = F.concat(sign, F.when(power < 0, small).otherwise(large))
+    return F.when(F.contains(text, F.lit("E")), plain).otherwise(text).alias(name)
 
 
 def export_csv(df: DataFrame, path: str) -> int:
@@ -76,6 +89,7 @@ def export_jsonl(df: DataFrame, path: str) -> int:
     return int(seen.get["rows"])
 
 
-def adhoc_sql(spark: SparkSession, sql: str, args: dict | None = None, limit: int = 20) -> DataFrame:
-    """The first rows of a statement over the registered tables and views; only those are computed and sent."""
-    return spark.sql(sql, args=args).limit(limit)
+def adhoc_sql(spark: SparkSession, sql: str, args: dict | None = None, limit: int | None = None) -> DataFrame:
+    """The rows of a statement over the registered tables and views; with a limit only so many are computed and sent."""
+    found = spark.sql(sql, args=args)
+    return found if limit is None else found.limit(limit)

@@ -37,10 +37,30 @@ def test_csv_short_long_quoted_and_null_words(spark, tmp_path):
     ]
 
 
-@pytest.mark.parametrize("multiline", [None, True])
-def test_csv_line_break_in_a_quoted_field(spark, tmp_path, multiline):
+def test_csv_line_break_in_a_quoted_field_must_be_declared(spark, tmp_path):
     path = _file(tmp_path, "in.csv", 'a,b\n1,"x\ny"\n2,z\n')
-    assert _rows(land_csv(spark, path, multiline)) == [("1", "x\ny"), ("2", "z")]
+    assert _rows(land_csv(spark, path, multiline=True)) == [("1", "x\ny"), ("2", "z")]
+    with pytest.raises(Exception, match="declare the source multiline"):
+        land_csv(spark, path).collect()
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_csv_keeps_lines_of_spaces_stray_quotes_and_repeated_headers(spark, tmp_path, multiline):
+    text = 'a,b\n1,x\n   \n\n2\n3,y,z\n4,\na,b\n5,"q,""r"""\n'
+    rows = [("1", "x"), ("   ", None), ("2", None), ("3", "y"), ("4", ""), ("a", "b"), ("5", 'q,"r"')]
+    assert _rows(land_csv(spark, _file(tmp_path, "1.csv", text), multiline)) == sorted(rows, key=str)
+    stray = land_csv(spark, _file(tmp_path, "2.csv", text + '6,5" pipe\n7" pipe\n'), multiline)
+    assert _rows(stray) == sorted([*rows, ("6", '5" pipe'), ('7" pipe', None)], key=str)
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_csv_split_over_tasks_is_read_once_and_whole(spark, conf, tmp_path, multiline):
+    conf({"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "1"})
+    for f in range(3):
+        _file(tmp_path, f"d/{f}.csv", "k,v\n" + "".join(f"{f}-{i},v{i}\n" for i in range(700)))
+    df = land_csv(spark, str(tmp_path / "d"), multiline)
+    assert df.select("k").distinct().count() == df.count() == 2100
+    assert df._jdf.queryExecution().executedPlan().toString().count("Scan ") == 1
 
 
 @pytest.mark.parametrize("multiline", [False, True])
@@ -64,11 +84,18 @@ def test_csv_files_of_one_folder_must_share_their_header(spark, tmp_path):
         land_csv(spark, str(tmp_path / "d")).collect()
 
 
-def test_jsonl_first_record_names_the_columns(spark, tmp_path):
+def test_jsonl_every_record_names_columns(spark, tmp_path):
     text = '{"a": 1, "b": "x"}\n\n{"a": 2.50}\n{"b": null, "a": true}\n{"a": {"k": 1}, "z": 3}\n'
     df = land_jsonl(spark, _file(tmp_path, "in.jsonl", text))
-    assert df.columns == ["a", "b"]
-    assert _rows(df) == [("1", "x"), ("2.50", ""), ("true", ""), ('{"k": 1}', "")]
+    assert df.columns == ["a", "b", "z"]
+    assert _rows(df) == [("1", "x", ""), ("2.50", "", ""), ("true", "", ""), ('{"k": 1}', "", "3")]
+    assert _rows(land_jsonl(spark, str(tmp_path / "in.jsonl"), ["b"])) == [("",), ("",), ("",), ("x",)]
+
+
+def test_jsonl_keeps_a_key_of_one_file_only(spark, tmp_path):
+    _file(tmp_path, "j/1.jsonl", '{"x": 1}\n' * 50)
+    _file(tmp_path, "j/2.jsonl", '{"x": 2, "y": 3}\n')
+    assert ("2", "3") in _rows(land_jsonl(spark, str(tmp_path / "j")))
 
 
 def test_jsonl_empty_and_malformed_raise(spark, tmp_path):
@@ -94,7 +121,7 @@ def test_export_round_trip_keeps_spaces_quotes_and_breaks(spark, tmp_path):
     rows = [(" 1 ", 'a"b', ""), ("2", "x\ny", "u,v")]
     path = str(tmp_path / "out")
     assert export_csv(spark.createDataFrame(rows, "a string, b string, c string"), path) == 2
-    assert _rows(land_csv(spark, path)) == sorted(rows)
+    assert _rows(land_csv(spark, path, multiline=True)) == sorted(rows)
 
 
 def test_export_replaces_and_has_a_header(spark, tmp_path):
@@ -105,13 +132,16 @@ def test_export_replaces_and_has_a_header(spark, tmp_path):
     assert part.read_text().splitlines() == ["a,b", "1,b"]
 
 
-def test_export_writes_large_amounts_without_exponent(spark, tmp_path):
-    values = [0.1, 5.0, 12345678.9, -98765432101.25, 1e15, 0.0, None]
+def test_export_writes_doubles_without_exponent(spark, tmp_path):
+    sizes = [m * 10.0**e for e in range(-7, 21) for m in (1, -1, 1.2345678901234567, -9.87)]
+    values = [0.1, 5.0, 12345678.9, -98765432101.25, 1e15, 0.0, *sizes, 5e-324, 1.7976931348623157e308, None]
     df = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)
     export_csv(df, str(tmp_path / "out"))
     (part,) = (tmp_path / "out").glob("*.csv")
     texts = part.read_text().split("\n")[1:-1]
-    assert texts[:6] == [repr(v) for v in values[:6]]
+    assert texts[:5] == ["0.1", "5.0", "12345678.9", "-98765432101.25", "1000000000000000.0"]
+    assert [float(t) for t in texts if t.strip("\"")] == values[:-1]
+    assert not any("e" in t.lower() for t in texts)
 
 
 def test_partitioned_table_keeps_types_and_order(spark, tmp_path):
@@ -128,5 +158,5 @@ def test_table_exists_and_adhoc_sql(spark, tmp_path):
     df = spark.range(50).withColumnRenamed("id", "x")
     materialize_table(df, "some_t", str(tmp_path / "t"))
     assert table_exists(spark, "some_t")
-    assert adhoc_sql(spark, "SELECT x FROM some_t WHERE x >= :low ORDER BY x", {"low": 5}).count() == 20
+    assert adhoc_sql(spark, "SELECT x FROM some_t WHERE x >= :low ORDER BY x", {"low": 5}).count() == 45
     assert [r.x for r in adhoc_sql(spark, "SELECT x FROM some_t ORDER BY x", limit=2).collect()] == [0, 1]
