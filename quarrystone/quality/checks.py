@@ -53,11 +53,10 @@ def orphan_rows(tables: Tables, contract: Contract) -> DataFrame:
     from the counts per key. The copies of one key come from as many tasks as
     there are blocks of them.
     """
-    spark = tables[contract.model].sparkSession
     block = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {COPIES_PER_ROW}")))
     copies = F.least(F.lit(COPIES_PER_ROW).cast("long"), F.col("n") - F.col("block") * COPIES_PER_ROW)
     blocks = orphan_keys(tables, contract).select(contract.column, "n", block.alias("block"))
-    spread = blocks.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), contract.column, "block")
+    spread = blocks.hint("rebalance", contract.column, "block")
     return spread.select(contract.column, F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(contract.column)
 
 

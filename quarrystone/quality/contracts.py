@@ -50,24 +50,6 @@ class Contract:
         return f"{self.test}:{self.model}.{self.column}" if self.column else f"{self.test}:{self.model}"
 
 
-def from_mapping(document: dict[str, Any]) -> list[Contract]:
-    """Contracts from the nested mapping form: models, their tests, their columns and the columns' tests.
-
-    A test is a name, or a one-entry mapping from its name to its arguments
-    with an optional ``severity`` among them.
-    """
-    found = []
-    for model in document.get("models", []):
-        holders = [{"tests": model.get("tests", [])}, *model.get("columns", [])]
-        for holder in holders:
-            for test in holder.get("tests", []):
-                kind, args = (test, {}) if isinstance(test, str) else next(iter(test.items()))
-                args = dict(args or {})
-                severity = args.pop("severity", "error")
-                found.append(Contract(model["name"], holder.get("name"), kind, severity, args))
-    return found
-
-
 def warehouse_contracts(
     segments: Sequence[str] = ("consumer", "business", "education", "unknown"),
     categories: Sequence[str] = ("coffee", "tea", "equipment", "accessories", "subscription"),
@@ -82,6 +64,7 @@ def warehouse_contracts(
     def key(model: str, column: str) -> list[Contract]:
         return [check(model, column, "not_null"), check(model, column, "unique")]
 
+    # Models, columns, checks, bounds and severities.
     return [
         check("stg_customers", None, "row_count_between", min=customer_rows[0], max=customer_rows[1]),
         *key("stg_customers", "customer_id"),
@@ -92,7 +75,6 @@ def warehouse_contracts(
         check("stg_products", "list_price", "not_null"),
         check("stg_products", "list_price", "non_negative"),
         check("stg_products", "category", "accepted_values", values=list(categories)),
-        # A negative margin is a pricing question, no reason to stop a load.
         check("stg_products", "unit_margin", "non_negative", "warn"),
         check("stg_orders", None, "row_count_between", min=order_rows[0], max=order_rows[1]),
         *key("stg_orders", "order_id"),
@@ -113,14 +95,12 @@ def warehouse_contracts(
         *key("dim_date", "date_key"),
         check("dim_date", "iso_weekday", "between", min=1, max=7),
         check("dim_date", "quarter_number", "between", min=1, max=4),
-        # The check that notices a broken join between line and order grain.
         check("fct_orders", None, "expression", condition="ABS(gross_amount - discount_amount - net_amount) < 0.05"),
         *key("fct_orders", "order_id"),
         check("fct_orders", "customer_key", "not_null"),
         check("fct_orders", "customer_key", "relationships", to="dim_customer", field="customer_id"),
         check("fct_orders", "order_date", "not_null"),
         check("fct_orders", "order_date", "relationships", to="dim_date", field="date_key"),
-        # A few orders ahead of their customers are expected.
         check("fct_orders", "is_orphan_customer", "accepted_values", "warn", values=[0]),
         *key("fct_order_lines", "order_line_key"),
         check("fct_order_lines", "order_id", "relationships", to="fct_orders", field="order_id"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
 from functools import reduce
@@ -33,6 +34,8 @@ class CheckResult:
     passed: bool
     failing_rows: int
     detail: str = ""
+    # Of the job that ran the check, which checks of one pass share.
+    duration_s: float = 0.0
 
     def as_dict(self) -> dict:
         return asdict(self)
@@ -51,10 +54,11 @@ def _one_pass(table: DataFrame, contracts: Mapping[int, Contract]) -> DataFrame:
                 f"to_json(struct({measure} AS n)) AS sample)"
             )
         else:
-            measures.append(F.count_if(ROW_CHECKS[c.test](c)).alias(measure))
-            failing.append(
-                f"struct({position} AS position, {measure} AS failing_rows, string(NULL) AS sample)"
-            )
+            bad = ROW_CHECKS[c.test](c)
+            measures.append(F.count_if(bad).alias(measure))
+            # The sample is the least violating row as JSON text, so it doesn't depend on the order of arrival.
+            measures.append(F.min(F.when(bad, F.to_json(F.struct("*")))).alias(f"s{position}"))
+            failing.append(f"struct({position} AS position, {measure} AS failing_rows, s{position} AS sample)")
     return table.agg(*measures).selectExpr(f"inline(array({', '.join(failing)}))")
 
 
@@ -123,48 +127,68 @@ def _first_line(error: Exception) -> str:
     return str(cause if cause is not None else error).strip().splitlines()[0]
 
 
-def _result(c: Contract, failing: int, sample: str | None) -> CheckResult:
+def _result(c: Contract, failing: int, sample: str | None, took: float) -> CheckResult:
     detail = f"for example {sample}" if failing and sample else ""
-    return CheckResult(c.name, c.model, c.test, c.severity, failing == 0, failing, detail)
+    return CheckResult(c.name, c.model, c.test, c.severity, failing == 0, failing, detail, took)
 
 
 def _run_alone(spark: SparkSession, tables: Mapping[str, DataFrame], contract: Contract) -> CheckResult:
     """One contract by itself, so that its failure to run touches no other."""
+    started = time.monotonic()
+    took = lambda: round(time.monotonic() - started, 3)
     try:
         row = _own_pass(tables, 0, contract).collect()[0]
     except (KeyError, PySparkException, Py4JError) as error:
         detail = f"check errored, {_first_line(error)}"
-        return CheckResult(contract.name, contract.model, contract.test, contract.severity, False, ERRORED, detail)
-    return _result(contract, row["failing_rows"], row["sample"])
-
-
-def _sample_row(tables: Mapping[str, DataFrame], contract: Contract) -> str | None:
-    """Any violating row of a row-level check; the scan stops at the first one."""
-    found = violations(tables, contract).limit(1).select(F.to_json(F.struct("*"))).collect()
-    return found[0][0] if found else None
+        return CheckResult(contract.name, contract.model, contract.test, contract.severity, False, ERRORED, detail, took())
+    return _result(contract, row["failing_rows"], row["sample"], took())
 
 
 def run_suite(
     spark: SparkSession, tables: Mapping[str, DataFrame], contracts: Sequence[Contract], with_detail: bool = True
 ) -> list[CheckResult]:
-    """Results in the order of the contracts. Only counters and one sample per failed check reach the driver."""
+    """Results in the order of the contracts. Only counters and one sample per failed check reach the driver.
+
+    All checks are one job. If one fails at run time, each model's checks are a
+    job, and only in a model that fails is each contract run alone.
+    """
     if not contracts:
         return []
+    results: dict[int, CheckResult] = {}
+    _run_together(spark, tables, dict(enumerate(contracts)), with_detail, results)
+    return [results[position] for position in range(len(contracts))]
+
+
+def _run_together(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    due: Mapping[int, Contract],
+    with_detail: bool,
+    results: dict[int, CheckResult],
+) -> None:
+    started = time.monotonic()
+    positions = list(due)
     try:
-        rows = {r["position"]: r for r in _counted(spark, tables, contracts).collect()}
+        rows = _counted(spark, tables, list(due.values())).collect()
     except (PySparkException, Py4JError):
-        # Some check fails at run time and takes the shared job with it.
-        return [_run_alone(spark, tables, c) for c in contracts]
-    results = []
-    for position, c in enumerate(contracts):
-        failing, sample = rows[position]["failing_rows"], rows[position]["sample"]
+        by_model: dict[str, dict[int, Contract]] = {}
+        for position, c in due.items():
+            by_model.setdefault(c.model, {})[position] = c
+        if len(by_model) > 1:
+            for part in by_model.values():
+                _run_together(spark, tables, part, with_detail, results)
+        else:
+            for position, c in due.items():
+                results[position] = _run_alone(spark, tables, c)
+        return
+    took = round(time.monotonic() - started, 3)
+    for row in rows:
+        position = positions[row["position"]]
+        failing, c = row["failing_rows"], due[position]
         if failing == ERRORED:
-            results.append(_run_alone(spark, tables, c))
-            continue
-        if failing and with_detail and c.test in ROW_CHECKS:
-            sample = _sample_row(tables, c)
-        results.append(_result(c, failing, sample if with_detail else None))
-    return results
+            results[position] = _run_alone(spark, tables, c)
+        else:
+            results[position] = _result(c, failing, row["sample"] if with_detail else None, took)
 
 
 def summary_frame(results: DataFrame) -> DataFrame:

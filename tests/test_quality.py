@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from quarrystone.quality.checks import first_violation, violations
-from quarrystone.quality.contracts import Contract, as_warnings, from_mapping, warehouse_contracts
+from quarrystone.quality.contracts import Contract, as_warnings, warehouse_contracts
 from quarrystone.quality.suite import ERRORED, QualityGateError, gate, run_suite, suite_frame, summary, summary_frame
 
 
@@ -145,25 +145,32 @@ def test_first_violation_is_the_smallest_row(spark):
     assert [r.violation for r in found] == ['{"k":2,"x":-7}']
 
 
-def test_contract_set_and_mapping_form():
-    contracts = warehouse_contracts()
-    assert len(contracts) == 58
-    assert len({c.name for c in contracts}) == 58
-    lowered = as_warnings(contracts, ["not_null:stg_orders.order_id"])
-    assert sum(c.severity == "warn" for c in lowered) == sum(c.severity == "warn" for c in contracts) + 1
-    with pytest.raises(ValueError):
-        as_warnings(contracts, ["no:such"])
-    document = {
-        "models": [
-            {
-                "name": "t",
-                "tests": [{"row_count_between": {"min": 1, "max": 2}}],
-                "columns": [{"name": "x", "tests": ["not_null", {"non_negative": {"severity": "warn"}}]}],
-            }
-        ]
-    }
-    assert [(c.name, c.severity, c.args) for c in from_mapping(document)] == [
-        ("row_count_between:t", "error", {"min": 1, "max": 2}),
-        ("not_null:t.x", "error", {}),
-        ("non_negative:t.x", "warn", {}),
+def _jobs(spark, run) -> int:
+    group = f"jobs-{id(run)}"
+    spark.sparkContext.setJobGroup(group, group)
+    run()
+    found = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("", "")
+    return found
+
+
+def test_failing_checks_cost_no_further_jobs(spark):
+    tables = {"t": spark.createDataFrame([(i, -i) for i in range(20)], "x int, y int")}
+    passing = [Contract("t", "x", "non_negative"), Contract("t", "x", "not_null"), Contract("t", "y", "not_null")]
+    failing = [Contract("t", "y", "non_negative"), Contract("t", "x", "between", args={"min": 3, "max": 5}),
+               Contract("t", "y", "accepted_values", args={"values": [0]})]
+    results = []
+    assert _jobs(spark, lambda: run_suite(spark, tables, passing)) == _jobs(spark, lambda: results.extend(run_suite(spark, tables, failing)))
+    assert [(r.failing_rows, r.detail) for r in results] == [
+        (19, 'for example {"x":1,"y":-1}'),
+        (17, 'for example {"x":0,"y":0}'),
+        (19, 'for example {"x":1,"y":-1}'),
     ]
+    assert all(r.duration_s > 0 for r in results)
+
+
+def test_a_check_that_fails_at_run_time_splits_only_its_own_model(spark):
+    good = spark.createDataFrame([(1,)], "x int")
+    tables = {"good": good, "bad": spark.createDataFrame([("12.5",)], "x string")}
+    contracts = [Contract("good", "x", "not_null"), Contract("bad", None, "expression", args={"condition": "int(x) > 0"}), Contract("bad", "x", "not_null")]
+    assert [(r.passed, r.failing_rows) for r in run_suite(spark, tables, contracts)] == [(True, 0), (False, -1), (True, 0)]
