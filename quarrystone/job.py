@@ -20,7 +20,7 @@ from graphlib import TopologicalSorter
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from quarrystone.plans.registry import MARTS, MODELS, Model, chosen
 from quarrystone.quality.contracts import Contract, warehouse_contracts
@@ -31,14 +31,14 @@ from quarrystone.sources.landing import land_all
 from quarrystone.sources.tables import export_csv, materialize_table, materialize_view, read_table
 
 
-T = TypeVar("T")
+R = TypeVar("R")
 
 
 def run_folder(warehouse: str, run_id: str) -> str:
     return f"{warehouse.rstrip('/')}/runs/{run_id}"
 
 
-def _together(spark: SparkSession, tasks: Sequence[Callable[[], T]]) -> list[T]:
+def _together(spark: SparkSession, tasks: Sequence[Callable[[], R]]) -> list[R]:
     """Run independent Spark actions at the same time, so the tail of one does not leave executors idle."""
     with ThreadPoolExecutor(max_workers=max(len(tasks), 1)) as pool:
         return list(pool.map(lambda task: task(), map(inheritable_thread_target(spark), tasks)))
@@ -55,13 +55,15 @@ def land_raw(
 
 
 def _materialize(model: Model, tables: Mapping[str, DataFrame], folder: str) -> tuple[DataFrame, dict]:
+    started = time.monotonic()
     df = model.build(*[tables[i] for i in model.inputs])
     if model.materialized == "view":
         stored = materialize_view(df, model.name)
         rows = df.count()
     else:
         stored, rows = materialize_table(df, model.name, f"{folder}/models/{model.name}", model.partition_by)
-    return stored, {"name": model.name, "layer": model.layer, "materialized": model.materialized, "rows": rows}
+    record = {"name": model.name, "layer": model.layer, "materialized": model.materialized, "rows": rows}
+    return stored, record | {"duration_s": round(time.monotonic() - started, 3)}
 
 
 def build_models(
@@ -71,8 +73,11 @@ def build_models(
 
     Models whose inputs are all there are built at the same time.
     """
-    tables, built = dict(tables), {}
     due = {m.name: m for m in chosen(select)}
+    missing = sorted({i for m in due.values() for i in m.inputs if i not in due and i not in tables})
+    if missing:
+        raise LookupError(f"not stored yet: {missing}")
+    tables, built = dict(tables), {}
     order = TopologicalSorter({m.name: [i for i in m.inputs if i in due] for m in due.values()})
     order.prepare()
     while order.is_active():
@@ -130,6 +135,7 @@ def full_refresh(
             report.exports = dict(zip(MARTS, written))
         failed = any(r.severity == "error" and not r.passed for r in results)
         report.status, report.published = ("failed_quality" if failed else "success"), True
+        report.published_at = datetime.now(timezone.utc).isoformat()
     except QualityGateError:
         report.status = "failed_quality"
         raise
@@ -142,25 +148,75 @@ def full_refresh(
     return report
 
 
-def open_run(spark: SparkSession, warehouse: str, run_id: str | None = None) -> dict[str, DataFrame]:
-    """The raw tables and models of a run, the published one by default, also registered for SQL by name."""
+class RunTables(Mapping):
+    """What a run holds so far, by name: raw tables and models, each opened when it is asked for.
+
+    A model that is a view exists as soon as its inputs do.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+        feeds = sorted({i for m in MODELS for i in m.inputs if i.startswith("raw_")})
+        there = {n for n in feeds if _stored(spark, f"{folder}/raw/{n}")}
+        self._models = {m.name: m for m in MODELS}
+        for m in MODELS:
+            if there.issuperset(m.inputs) if m.materialized == "view" else _stored(spark, f"{folder}/models/{m.name}"):
+                there.add(m.name)
+        self._names = [n for n in [*feeds, *self._models] if n in there]
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._open:
+            model = self._models.get(name)
+            if model is None:
+                df = read_table(self.spark, f"{self.folder}/raw/{name}")
+            elif model.materialized == "view":
+                df = model.build(*[self[i] for i in model.inputs])
+            else:
+                df = _typed(self.spark, f"{self.folder}/models/{name}", model.partition_by)
+            self._open[name] = materialize_view(df, name)
+        return self._open[name]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
+def _stored(spark: SparkSession, path: str) -> bool:
+    """True for a table whose writing has been completed."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def _typed(spark: SparkSession, path: str, partition_by: str | None) -> DataFrame:
+    """A stored model; text in partition names stays text, and the partition column comes last."""
+    df = spark.read.parquet(path)
+    if partition_by is None:
+        return df
+    kinds = T.StructType([T.StructField(f.name, T.StringType()) if f.name == partition_by else f for f in df.schema])
+    return spark.read.schema(kinds).parquet(path)
+
+
+def open_run(spark: SparkSession, warehouse: str, run_id: str | None = None) -> RunTables:
+    """The tables that a run holds, the published one by default; each is registered for SQL once it is opened."""
     run_id = run_id or published_run(spark, warehouse)
     if run_id is None:
         raise LookupError(f"nothing is published in {warehouse}")
-    folder = run_folder(warehouse, run_id)
-    feeds = sorted({i for m in MODELS for i in m.inputs if i.startswith("raw_")})
-    tables = {name: materialize_view(read_table(spark, f"{folder}/raw/{name}"), name) for name in feeds}
-    for model in MODELS:
-        df = model.build(*[tables[i] for i in model.inputs])
-        if model.materialized == "table":
-            # The plan only lends its schema, so that text in partition names stays text.
-            df = read_table(spark, f"{folder}/models/{model.name}", like=df)
-        tables[model.name] = materialize_view(df, model.name)
-    return tables
+    return RunTables(spark, run_folder(warehouse, run_id))
+
+
+def continue_run(spark: SparkSession, warehouse: str, run_id: str, select: Iterable[str] | None = None) -> list[dict]:
+    """Build further layers or models of a run from what it has stored, in this or a later application."""
+    tables = open_run(spark, warehouse, run_id)
+    return build_models(spark, tables, run_folder(warehouse, run_id), select)[1]
 
 
 def open_model(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    """One raw table or model of the published run."""
+    """One raw table or model of the published run; no other table is opened unless it is a view over it."""
     return open_run(spark, warehouse)[name]
 
 

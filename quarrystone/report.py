@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quarrystone.quality.suite import CheckResult
 
 _RESULT = """name: string, model: string, test: string, severity: string, passed: boolean,
-        failing_rows: bigint, detail: string"""
+        failing_rows: bigint, detail: string, duration_s: double"""
 
 _SCHEMA = f"""
-    run_id string, started_at string, status string, published boolean, duration_s double,
+    run_id string, started_at string, published_at string, status string, published boolean, duration_s double,
     extracted map<string, bigint>,
-    models array<struct<name: string, layer: string, materialized: string, rows: bigint>>,
+    models array<struct<name: string, layer: string, materialized: string, rows: bigint, duration_s: double>>,
     gates array<struct<stage: string, total: bigint, passed: bigint, errors: bigint, warnings: bigint>>,
     quality_failures array<struct<{_RESULT}>>,
     exports map<string, bigint>
@@ -27,6 +27,7 @@ _SCHEMA = f"""
 class RunReport:
     run_id: str
     started_at: str
+    published_at: str | None = None
     status: str = "running"
     published: bool = False
     duration_s: float = 0.0
@@ -55,10 +56,11 @@ def reports(spark: SparkSession, warehouse: str) -> DataFrame:
 
 
 def published_run(spark: SparkSession, warehouse: str) -> str | None:
-    """The id of the latest published run; publishing is the appearance of its report."""
+    """The id of the run published last; publishing is the appearance of its report."""
     try:
-        done = reports(spark, warehouse).where("published")
-    except AnalysisException:
+        found = reports(spark, warehouse)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    latest = done.agg(F.max_by("run_id", "started_at")).collect()
-    return latest[0][0]
+    return found.where("published").agg(F.max_by("run_id", "published_at")).first()[0]

@@ -4,11 +4,11 @@ from types import SimpleNamespace
 
 import pytest
 
-from quarrystone.job import build_models, full_refresh, land_raw, main, open_model, recheck
+from quarrystone.job import build_models, continue_run, full_refresh, land_raw, main, open_model, open_run, recheck, run_folder
 from quarrystone.quality.suite import QualityGateError
 from quarrystone.report import published_run, reports
 from quarrystone.session import scratch_dir
-from quarrystone.sources.sample_feeds import sample_feeds
+from workload.sample_feeds import sample_feeds
 from quarrystone.sources.tables import adhoc_sql, table_exists
 from workload.quality import STRICT, TOLERANT
 
@@ -43,6 +43,10 @@ def test_blocked_run_publishes_nothing_and_the_next_one_does(spark, tmp_path):
     assert len(spark.read.json(f"{warehouse}/runs/{report.run_id}/quality/final").collect()) == 58
     header = next(tmp_path.glob(f"wh/runs/{report.run_id}/exports/mart_channel_funnel/*.csv")).read_text().splitlines()[0]
     assert header.startswith("event_month,sessions,page_views")
+    record = reports(spark, warehouse).where("published").first()
+    assert record.published_at > record.started_at and all(m.duration_s > 0 for m in record.models)
+    checks = spark.read.json(f"{warehouse}/runs/{report.run_id}/quality/final").collect()
+    assert all(c.duration_s > 0 for c in checks)
     logged = {r.status: r.published for r in reports(spark, warehouse).collect()}
     assert logged == {"failed_quality": False, "success": True}
 
@@ -66,6 +70,28 @@ def test_one_layer_or_one_model(spark, tmp_path):
     assert table_exists(spark, "dim_date")
 
 
+def test_a_later_application_continues_a_run(spark, tmp_path):
+    warehouse, folder = str(tmp_path), run_folder(str(tmp_path), "r1")
+    raw, _ = land_raw(spark, sample_feeds(spark, SF), folder)
+    build_models(spark, raw, folder, ["staging"])
+    assert {n for n in open_run(spark, warehouse, "r1") if not n.startswith("raw_")} == {
+        "stg_customers", "stg_products", "stg_web_events", "stg_orders", "stg_order_lines"
+    }
+    with pytest.raises(LookupError, match="not stored yet.*fct_orders"):
+        continue_run(spark, warehouse, "r1", ["marts"])
+    assert len(continue_run(spark, warehouse, "r1", ["core"])) == 5
+    assert len(continue_run(spark, warehouse, "r1", ["marts"])) == 4
+    assert open_run(spark, warehouse, "r1")["fct_orders"].count() == 1500
+
+
+def test_the_run_published_last_counts(spark, tmp_path):
+    from quarrystone.report import RunReport, append_report
+
+    for run, started, published in (("old", "2024-01-01", "2024-01-05"), ("new", "2024-01-02", "2024-01-03")):
+        append_report(spark, RunReport(run, started, published, published=True), str(tmp_path))
+    assert published_run(spark, str(tmp_path)) == "old"
+
+
 def test_scratch_folder_follows_the_checkpoint_setting():
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: "/shared/checkpoints/"))
     first, second = scratch_dir(cluster, "x"), scratch_dir(cluster, "x")
