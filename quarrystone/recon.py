@@ -1,6 +1,6 @@
 """Reconciliations between grains: totals that must agree, side by side in one row.
 
-Each total is a scalar subquery, so comparing two relations needs no join.
+Each relation is aggregated once to one row, and the rows are set side by side.
 """
 
 from __future__ import annotations
@@ -12,14 +12,15 @@ from quarrystone.quality.checks import violations
 from quarrystone.quality.contracts import Contract
 
 
-def _rows(df: DataFrame) -> Column:
-    return df.agg(F.count(F.lit(1))).scalar()
-
-
 def _net(df: DataFrame, column: str = "net_amount") -> Column:
     return df.agg(money_sum(F.col(column))).scalar()
 
 
+def _totals(df: DataFrame, *totals: Column) -> Column:
+    """All totals of one relation from one aggregate, as a scalar struct."""
+    return df.agg(F.struct(*totals)).scalar()
+
+
 def _one_row(df: DataFrame, holds: Column, **totals: Column) -> DataFrame:
     row = df.sparkSession.range(1).select(*[c.alias(name) for name, c in totals.items()])
     return row.select(*totals, holds.cast("int").alias("holds"))
@@ -28,25 +29,23 @@ def _one_row(df: DataFrame, holds: Column, **totals: Column) -> DataFrame:
 def dedup_keeps_every_id(raw_orders: DataFrame, stg_orders: DataFrame) -> DataFrame:
     """The feed replays orders, and staging holds each id exactly once."""
     ids = raw_orders.select(F.nullif(F.trim("order_id"), F.lit("")).alias("id"))
-    return _one_row(
-        raw_orders,
-        (F.col("staged_rows") == F.col("distinct_ids")) & (F.col("raw_rows") > F.col("distinct_ids")),
-        raw_rows=_rows(raw_orders),
-        distinct_ids=ids.agg(F.count_distinct("id")).scalar(),
-        staged_rows=_rows(stg_orders),
-    )
+    raw = _totals(ids, F.count(F.lit(1)).alias("raw_rows"), F.count_distinct("id").alias("distinct_ids"))
+    staged = stg_orders.agg(F.count(F.lit(1))).scalar()
+    row = raw_orders.sparkSession.range(1).select(raw.alias("raw"), staged.alias("staged_rows"))
+    row = row.select("raw.raw_rows", "raw.distinct_ids", "staged_rows")
+    holds = (F.col("staged_rows") == F.col("distinct_ids")) & (F.col("raw_rows") > F.col("distinct_ids"))
+    return row.withColumn("holds", holds.cast("int"))
 
 
 def no_order_lost(stg_orders: DataFrame, fct_orders: DataFrame) -> DataFrame:
     """Orders with an unresolved customer are in the fact table, under the unknown member."""
-    unknown = fct_orders.where(F.col("customer_key") == "UNKNOWN")
-    return _one_row(
-        stg_orders,
-        (F.col("staged_rows") == F.col("fact_rows")) & (F.col("unknown_rows") > 0),
-        staged_rows=_rows(stg_orders),
-        fact_rows=_rows(fct_orders),
-        unknown_rows=_rows(unknown),
-    )
+    unknown = F.count_if(F.col("customer_key") == "UNKNOWN").alias("unknown_rows")
+    facts = _totals(fct_orders, F.count(F.lit(1)).alias("fact_rows"), unknown)
+    staged = stg_orders.agg(F.count(F.lit(1))).scalar()
+    row = stg_orders.sparkSession.range(1).select(staged.alias("staged_rows"), facts.alias("facts"))
+    row = row.select("staged_rows", "facts.fact_rows", "facts.unknown_rows")
+    holds = (F.col("staged_rows") == F.col("fact_rows")) & (F.col("unknown_rows") > 0)
+    return row.withColumn("holds", holds.cast("int"))
 
 
 def lines_match_orders(stg_order_lines: DataFrame, fct_orders: DataFrame, within: float = 0.5) -> DataFrame:

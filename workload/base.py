@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from quarrystone.plans.registry import MODELS, derive
-from quarrystone.sources.sample_feeds import FEEDS, sample_feed
+from workload.sample_feeds import FEEDS, sample_feed
 from workload.relations import with_relations
 
 Run = Callable[[SparkSession, str], DataFrame]

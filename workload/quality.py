@@ -10,7 +10,7 @@ from quarrystone.quality.checks import stale_latest, violations
 from quarrystone.quality.contracts import Contract, as_warnings, warehouse_contracts
 from quarrystone.quality.suite import QualityGateError, gate, run_suite, suite_frame, summary, summary_frame
 from quarrystone.session import scratch_dir
-from quarrystone.sources.sample_feeds import SAMPLE_CATEGORIES, SAMPLE_DEFECTS, SAMPLE_SEGMENTS, sample_feeds
+from workload.sample_feeds import SAMPLE_CATEGORIES, SAMPLE_DEFECTS, SAMPLE_SEGMENTS, sample_feeds
 from workload.base import Inputs, Query, over, query
 from workload.contract_sql import suite_sql
 from workload.relations import money_sum as sql_money_sum

@@ -234,7 +234,3 @@ def with_relations(sql: str) -> str:
     if not names:
         return sql
     return "WITH " + ",\n".join(f"{n} AS ({RELATIONS[n]})" for n in names) + "\n" + sql
-
-
-def select_all(name: str) -> str:
-    return with_relations(f"SELECT * FROM {name}")
