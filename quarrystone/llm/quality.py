@@ -175,4 +175,38 @@ def verdicts(docs: DataFrame) -> DataFrame:
     )
 
 
-QUERIES = {"op3_quality": Query(lambda spark, sf_dir: verdicts(table(spark, sf_dir, "documents")))}
+SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+),
+s AS (
+  SELECT r, doc_id, text,
+    list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM d
+),
+places AS (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM s WHERE len(words) >= 3),
+windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, words[i], words[i + 1], words[i + 2]) AS times FROM places
+),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE times > 1) GROUP BY r
+),
+m AS (
+  SELECT doc_id, text, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) AS BIGINT) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM s LEFT JOIN covered USING (r)
+),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR n_symbols > 0.5 * n_words OR 2 * n_dup_lines > n_lines
+    OR word_chars < 2 * n_words OR word_chars > 25 * n_words
+    OR length(regexp_replace(text, '[^\p{L}]', '', 'g')) < 0.5 * word_chars) AS kept
+FROM b
+"""
+
+QUERIES = {"op3_quality": Query(lambda spark, sf_dir: verdicts(table(spark, sf_dir, "documents")), SQL)}
