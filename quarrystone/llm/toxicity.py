@@ -88,7 +88,7 @@ class Windows:
 
 def features(counts: np.ndarray) -> np.ndarray:
     """Per document: constant, windows by difference (log), and the share of windows with a clear one."""
-    share = counts[:, 1:-1].sum(axis=1) / np.maximum(counts[:, -1], 1)
+    share = counts[:, 2:-1].sum(axis=1) / np.maximum(counts[:, -1], 1)
     return np.column_stack([np.ones(len(counts)), np.log1p(counts[:, :-1]), np.minimum(share, 0.1) * 10])
 
 
