@@ -9,8 +9,9 @@
    chosen miss probability; survivors are verified on the full sets.
 5. Links join classes to components. What is left in a bucket outside its
    leader's component is paired with the other components of the bucket, unless
-   an exact bound rules a link out: shingles that nobody else has can't be in an
-   intersection. So copies that are linked already are never paired again.
+   an exact bound rules a link out: an intersection holds no shingle that only
+   one set has, and of those that few sets have only what the pair itself
+   shares. So copies that are linked already are never paired again.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from quarrystone.llm.common import Query, schema, slices, stored, table, whole_text
 
 BATCH = 30
+# A shingle in at most so many bucketed sets is rare: the pairs that share it are listed, not bounded.
+RARE = 16
 
 
 @dataclass(frozen=True)
@@ -257,7 +260,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     links = stored(_verified(_promising(star, sigs, s), sets, s), "dedup-links")
     labels = components(links)
 
-    rest = _unlinked_pairs(known, labels, s)
+    rest = _unlinked_pairs(known, labels, sets, s)
     rest = stored(rest.join(star, ["a", "b"], "left_anti"), "dedup-rest")
     more = stored(_verified(_promising(rest, sigs, s), sets, s), "dedup-more")
     if not more.isEmpty():
@@ -274,8 +277,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     )
 
 
-def _own_shingles(sets: DataFrame) -> DataFrame:
-    """(c, own): how many shingles of a class are in no other set."""
+def _items(sets: DataFrame) -> DataFrame:
+    """(c, item): the shingles of every set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "items"):
@@ -283,29 +286,63 @@ def _own_shingles(sets: DataFrame) -> DataFrame:
             row = pa.array(np.repeat(np.arange(len(items)), [len(x) for x in items]))
             yield pa.RecordBatch.from_arrays([batch.column("c").take(row), pa.array(np.concatenate(items))], names=["c", "item"])
 
-    each = sets.mapInArrow(run, "c long, item long")
-    single = each.groupBy("item").agg(F.count("*").alias("sets"), F.min("c").alias("c")).where("sets = 1")
+    return sets.select("c", "items").mapInArrow(run, "c long, item long")
+
+
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """(c, own): how many shingles of a class are in no other set."""
+    single = _items(sets).groupBy("item").agg(F.count("*").alias("sets"), F.min("c").alias("c")).where("sets = 1")
     return single.groupBy("c").agg(F.count("*").alias("own"))
 
 
-def _unlinked_pairs(known: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
-    """Pairs of one bucket and different components that may still be similar enough.
+def _still_open(placed: DataFrame, usable: str, s: Settings) -> DataFrame:
+    """Rows (bucket, c, label, n, ...) whose usable shingles allow a link to another component of the bucket.
 
     With p = percent / 100, a link needs an intersection of p / (1 + p) of both
-    sizes together, and neither side can bring more than its shared shingles.
+    sizes together. ``reach`` is the largest partner that a class allows; the
+    smallest of the bucket must be within.
+    """
+    reach = F.col(usable) * ((100 + s.percent) / s.percent) - F.col("n") + 1e-6
+    bucket = lambda rows: rows.groupBy("bucket").agg(F.min("n").alias("least"), F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = bucket(placed).where("low != high").select("bucket", "least")
+    near = placed.withColumn("reach", reach).join(mixed, "bucket").where("reach >= least").drop("least")
+    return near.join(bucket(near).where("low != high").select("bucket"), "bucket")
+
+
+def _unlinked_pairs(known: DataFrame, labels: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Pairs of bucketed classes in different components that may still be similar enough.
+
+    Every such pair either has enough frequent shingles on both sides, or shares
+    rare ones too; the first kind meets in its first common bucket, the second
+    at its rare shingles.
     """
-    factor = (100 + s.percent) / s.percent
-    placed = known.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c")).withColumn("usable", F.col("n") - F.col("own"))
-    # The largest partner that its shared shingles allow; the smallest of the bucket must be within.
-    placed = placed.withColumn("reach", F.col("usable") * factor - F.col("n") + 1e-6)
-    spread = placed.groupBy("bucket").agg(F.min("n").alias("least"), F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ = placed.join(spread.where("low != high").select("bucket", "least"), "bucket").where("reach >= least").drop("least")
-    again = open_.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    open_ = stored(open_.join(again.select("bucket"), "bucket"), "dedup-open")
-    left = open_.select("bucket", F.col("c").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("reach").alias("ra"))
-    right = open_.select("bucket", F.col("c").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("reach").alias("rb"))
-    pairs = left.join(right, "bucket").where("a < b and la != lb and nb <= ra and na <= rb")
-    return pairs.select("a", "b").distinct()
+    placed = known.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    placed = placed.withColumn("shared", F.col("n") - F.col("own"))
+    open_ = stored(_still_open(placed, "shared", s), "dedup-open")
+    classes = open_.select("c", "label", "n", "shared").distinct()
+    few = _items(sets).groupBy("item").count().where(f"count > 1 and count <= {RARE}").select("item")
+    rare = stored(_items(sets.join(classes.select("c"), "c")).join(few, "item"), "dedup-rare")
+    counted = classes.join(rare.groupBy("c").agg(F.count("*").alias("rare")), "c", "left")
+    counted = counted.withColumn("frequent", F.col("shared") - F.coalesce("rare", F.lit(0)))
+    facts = stored(counted.select("c", "label", "n", "frequent"), "dedup-frequent")
+    as_a, as_b = ({x: f"{x}_{side}" for x in ("label", "n", "frequent", "reach", "all")} | {"c": side} for side in "ab")
+
+    often = _still_open(open_.select("bucket", "c", "label", "n").join(facts.select("c", "frequent"), "c"), "frequent", s)
+    often = stored(often, "dedup-often")
+    lists = often.groupBy("c").agg(F.sort_array(F.collect_list("bucket")).alias("all"))
+    listed = stored(often.join(lists, "c"), "dedup-listed")
+    left, right = listed.withColumnsRenamed(as_a), listed.withColumnsRenamed(as_b)
+    first = F.array_min(F.array_intersect("all_a", "all_b"))
+    met = left.join(right, "bucket").where("a < b and label_a != label_b and n_b <= reach_a and n_a <= reach_b")
+    met = met.where(F.col("bucket") == first).select("a", "b")
+
+    index = rare.join(facts, "c")
+    left, right = index.withColumnsRenamed(as_a), index.withColumnsRenamed(as_b)
+    both = left.join(right, "item").where("a < b and label_a != label_b")
+    common = both.groupBy("a", "b").agg(F.count("*").alias("common"), *(F.first(x).alias(x) for x in ("n_a", "n_b", "frequent_a", "frequent_b")))
+    most = F.least("frequent_a", "frequent_b") + F.col("common")
+    close = common.where(most * (100 + s.percent) >= s.percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    return met.unionByName(close).distinct()
 
 
 QUERIES = {"op8_near_duplicates": Query(lambda spark, sf_dir: near_duplicates(table(spark, sf_dir, "documents")))}
