@@ -31,6 +31,7 @@ EVIDENCE_SHARE = 0.06
 WINDOW = 64
 THRESHOLD = 0.3
 LEVEL = 3
+TABLE_BITS = 17
 # Every window stands between these: very short input is stored as it is, and no match begins in its last bytes.
 HEAD, TAIL = " window window ", " qzx qzx qzx"
 DIFFERENCES = (1, 2, 3, 4)
@@ -56,10 +57,16 @@ class Windows:
     def __init__(self, ordinary: bytes, toxic: bytes) -> None:
         import zstandard as z
 
+        # Match tables with room to spare: words of one part of a dictionary must not push out those of another.
+        tables = z.ZstdCompressionParameters.from_level(
+            LEVEL, hash_log=TABLE_BITS, chain_log=TABLE_BITS, window_log=TABLE_BITS,
+            write_content_size=False, write_checksum=False, write_dict_id=False,
+        )
+
         def primed(content: bytes):
             words = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
-            words.precompute_compress(level=LEVEL)
-            return z.ZstdCompressor(dict_data=words, write_content_size=False, write_checksum=False, write_dict_id=False)
+            words.precompute_compress(compression_params=tables)
+            return z.ZstdCompressor(dict_data=words, compression_params=tables)
 
         self._either = primed(ordinary).compress, primed(toxic).compress
         self._known: dict[str, int] = {}
@@ -145,7 +152,8 @@ def _dictionaries(counted: DataFrame, in_toxic: Column, in_ordinary: Column, n1:
             best = best[: len(best) * 9 // 10]
         return " ".join(reversed(best))
 
-    ordinary = HEAD * 2 + content(counted.where((in_ordinary > 0) & (p1 <= 4 * p0)), p0) + " "
+    # The line feed keeps the head from matching on into the first word.
+    ordinary = HEAD * 2 + "\n" + content(counted.where((in_ordinary > 0) & (p1 <= 4 * p0)), p0) + " "
     toxic = content(counted.where(clear), p1 * F.log(p1 / p0))
     # Forwards and back, so that an entry overwritten in the match tables has a second chance.
     toxic = " ".join([*reversed(toxic.split(" ")), toxic]) + " "
