@@ -12,9 +12,9 @@ import heapq
 import numpy as np
 
 CLASS_SIZE = 64
-HIDDEN = 32
-WINDOW = 16
-RATE = 0.08
+HIDDEN = 16
+WINDOW = 32
+RATE = 0.25
 CLIP = 4.0
 
 Weights = dict[str, np.ndarray]
@@ -84,25 +84,35 @@ class Lanes:
             yield self.inputs[part], self.targets[part], self.document[part], self.fresh[part]
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
-def _states(w: Weights, inputs: np.ndarray, fresh: np.ndarray, h: np.ndarray):
-    """Hidden states of a window, and what the way back needs."""
+def _states(w: Weights, inputs: np.ndarray, fresh: np.ndarray, h: np.ndarray, kept: list | None = None):
+    """Hidden states of a window and the last one; ``kept`` gets what the way back needs."""
     size = h.shape[1]
-    x = w["E"][inputs] + w["b"]
-    kept, out = [], np.empty((*inputs.shape, size), np.float32)
+    x = w["E"][inputs]
+    x += w["b"]
+    out = np.empty((*inputs.shape, size), h.dtype)
     for t in range(len(inputs)):
-        h = np.where(fresh[t][:, None], np.float32(0), h)
+        if fresh[t].any():
+            h = h * ~fresh[t][:, None]
         a = h @ w["U"]
-        gates = _sigmoid(x[t, :, : 2 * size] + a[:, : 2 * size])
+        # The logistic function as a hyperbolic tangent, in place.
+        gates = x[t, :, : 2 * size]
+        gates += a[:, : 2 * size]
+        gates *= 0.5
+        np.tanh(gates, out=gates)
+        gates += 1
+        gates *= 0.5
         z, r = gates[:, :size], gates[:, size:]
-        n = np.tanh(x[t, :, 2 * size :] + r * a[:, 2 * size :])
-        kept.append((h, z, r, n, a[:, 2 * size :]))
-        h = n + z * (h - n)
+        n = r * a[:, 2 * size :]
+        n += x[t, :, 2 * size :]
+        np.tanh(n, out=n)
+        if kept is not None:
+            kept.append((h, z, r, n, a[:, 2 * size :]))
         out[t] = h
-    return out, kept, h
+        h = out[t]
+        h -= n
+        h *= z
+        h += n
+    return out, h
 
 
 def _classes(w: Weights, targets: np.ndarray) -> np.ndarray:
@@ -111,38 +121,50 @@ def _classes(w: Weights, targets: np.ndarray) -> np.ndarray:
     return np.where(targets < heads * CLASS_SIZE, targets // CLASS_SIZE, targets - heads * CLASS_SIZE + heads)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray, target: np.ndarray, rows: np.ndarray, gradient: bool) -> np.ndarray:
+    """Log probability of each row's target. ``x`` is used up; with ``gradient`` it becomes that of the negative."""
+    x -= x.max(axis=1, keepdims=True)
+    picked = x[rows, target]
+    np.exp(x, out=x)
+    total = x.sum(axis=1)
+    if gradient:
+        x /= total[:, None]
+        x[rows, target] -= 1
+    return picked - np.log(total)
 
 
 def _outputs(w: Weights, states: np.ndarray, targets: np.ndarray, grads: Weights | None):
     """Natural log probability of each target; with ``grads`` also the gradients of their negative sum."""
-    chance = _log_softmax(states @ w["C"] + w["cb"])
-    own, rows = _classes(w, targets), np.arange(len(targets))
-    logs = chance[rows, own]
+    own, rows, learn = _classes(w, targets), np.arange(len(targets)), grads is not None
+    d = states @ w["C"]
+    d += w["cb"]
+    logs = _softmax(d, own, rows, learn)
     back = None
-    if grads is not None:
-        d = np.exp(chance)
-        d[rows, own] -= 1
+    if learn:
         grads["C"], grads["cb"] = states.T @ d, d.sum(axis=0)
         back = d @ w["C"].T
         grads["W"], grads["wb"] = np.zeros_like(w["W"]), np.zeros_like(w["wb"])
     heads = w["W"].shape[0]
+    # Rows in the order of their classes, so that each class is one slice.
     order = np.argsort(own, kind="stable")
     cuts = np.searchsorted(own[order], np.arange(heads + 1))
+    order = order[: cuts[-1]]
+    inner, places, found = states[order], targets[order] % CLASS_SIZE, np.empty(len(order), logs.dtype)
+    into = np.empty_like(inner)
     for c in range(heads):
-        at = order[cuts[c] : cuts[c + 1]]
-        if not len(at):
+        part = slice(cuts[c], cuts[c + 1])
+        if cuts[c] == cuts[c + 1]:
             continue
-        inside = _log_softmax(states[at] @ w["W"][c] + w["wb"][c])
-        place = targets[at] - c * CLASS_SIZE
-        logs[at] += inside[np.arange(len(at)), place]
-        if grads is not None:
-            d = np.exp(inside)
-            d[np.arange(len(at)), place] -= 1
-            grads["W"][c], grads["wb"][c] = states[at].T @ d, d.sum(axis=0)
-            back[at] += d @ w["W"][c].T
+        own_states = inner[part]
+        d = own_states @ w["W"][c]
+        d += w["wb"][c]
+        found[part] = _softmax(d, places[part], rows[: len(d)], learn)
+        if learn:
+            grads["W"][c], grads["wb"][c] = own_states.T @ d, d.sum(axis=0)
+            into[part] = d @ w["W"][c].T
+    logs[order] += found
+    if learn:
+        back[order] += into
     return logs, back
 
 
@@ -159,7 +181,9 @@ def _backward(w: Weights, inputs: np.ndarray, fresh: np.ndarray, kept: list, bac
         dx[t] = np.concatenate([dz, dr, dn], axis=1)
         da = np.concatenate([dz, dr, dn * r], axis=1)
         grads["U"] += h.T @ da
-        dh = np.where(fresh[t][:, None], np.float32(0), dh * z + da @ w["U"].T)
+        dh = dh * z + da @ w["U"].T
+        if fresh[t].any():
+            dh *= ~fresh[t][:, None]
     rows = dx.reshape(-1, 3 * size)
     grads["b"] = rows.sum(axis=0)
     order = np.argsort(inputs.ravel(), kind="stable")
@@ -170,7 +194,8 @@ def _backward(w: Weights, inputs: np.ndarray, fresh: np.ndarray, kept: list, bac
 
 def gradients(w: Weights, inputs: np.ndarray, targets: np.ndarray, known: np.ndarray, fresh: np.ndarray, h: np.ndarray):
     """(sum of log probabilities, gradients of its negative, state after) of one window; ``known`` marks real tokens."""
-    states, kept, after = _states(w, inputs, fresh, h)
+    kept: list = []
+    states, after = _states(w, inputs, fresh, h, kept)
     grads: Weights = {}
     logs, back_known = _outputs(w, states[known], targets[known], grads)
     back = np.zeros_like(states)
@@ -187,9 +212,11 @@ class Trainer:
         self.rate, self.seen = rate, {k: np.full_like(v, 1e-2) for k, v in weights.items()}
         self.tokens = 0
 
-    def learn(self, documents: list[np.ndarray], lanes: int = 64) -> None:
+    def learn(self, documents: list[np.ndarray], most: int = 256) -> None:
+        """One pass. Lanes are as many as leave about 64 windows, so that few documents still make many steps."""
         w = self.w
         h = None
+        lanes = int(np.clip(sum(map(len, documents)) // (64 * WINDOW), 16, most))
         plan = Lanes(documents, w["E"].shape[0] - 1, lanes)
         for inputs, targets, document, fresh in plan.windows(WINDOW):
             known = document >= 0
@@ -212,7 +239,7 @@ def log10_likelihoods(w: Weights, documents: list[np.ndarray], lanes: int = 256)
     totals = np.zeros(len(documents))
     h = np.zeros((plan.inputs.shape[1], w["U"].shape[0]), np.float32)
     for inputs, targets, document, fresh in plan.windows(WINDOW):
-        states, _, h = _states(w, inputs, fresh, h)
+        states, h = _states(w, inputs, fresh, h)
         known = document >= 0
         logs, _ = _outputs(w, states[known], targets[known], None)
         totals += np.bincount(document[known], logs, len(documents))

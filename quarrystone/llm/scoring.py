@@ -13,6 +13,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +23,13 @@ from pyspark.sql import functions as F
 from quarrystone.llm import recurrent
 from quarrystone.llm.common import Query, fold, schema, slices, stored, table, whole_text
 
-HEAD_WORDS = 4_096
+HEAD_WORDS = 1_024
 KNOWN_WORDS = 65_536
 TAIL_CLASSES = 32
 SMOOTHING = 0.1
 END = b""
-PACK_TOKENS = 600_000
+# Documents run side by side in lanes; more of them at once keep the lanes full beside a very long one.
+PACK_TOKENS = 3_000_000
 COUNT_ENTRIES = 250_000
 CHUNK = 4_096
 
@@ -120,6 +122,8 @@ class Reader:
         self.log_count = np.log10(np.array(list(v.known.values()), float) + SMOOTHING)
         self.seen = np.array(list(v.known.values())) > 0
         self.tail_log = np.log10(v.tail_tokens + SMOOTHING * (v.tail_words + 1))
+        self.kind = np.array([tail_class(w) for w in v.known], np.int32)
+        self.id = np.where(np.arange(len(v.known)) < v.head, np.arange(len(v.known)), v.slots + self.kind).astype(np.int32)
         self.ending: dict[bytes, int] = {}
 
     def _tail(self, word: bytes) -> int:
@@ -128,19 +132,26 @@ class Reader:
             self.ending[end] = tail_class(end)
         return self.ending[end]
 
-    def ids(self, text: str):
-        """(ids for the network, known log10 counts, log10 parts of tail words, known tokens, other words)."""
+    def _read(self, text: str):
+        """(words, places among the known ones, ids for the network, which are unknown, their classes)."""
         found = words(text)
         found.append(END)
-        places = np.fromiter((self.place.get(w, -1) for w in found), np.int64, len(found))
-        tail = np.flatnonzero((places < 0) | (places >= self.v.head))
-        kinds = np.fromiter((self._tail(found[i]) for i in tail), np.int64, len(tail))
-        ids = places.astype(np.int32)
-        ids[tail] = self.v.slots + kinds
+        places = np.fromiter(map(self.place.get, found, repeat(-1)), np.int32, len(found))
+        ids, unknown = self.id[places], np.flatnonzero(places < 0)
+        kinds = np.fromiter((self._tail(found[i]) for i in unknown.tolist()), np.int32, len(unknown))
+        ids[unknown] = self.v.slots + kinds
+        return found, places, ids, unknown, kinds
+
+    def ids(self, text: str) -> np.ndarray:
+        return self._read(text)[2]
+
+    def facts(self, text: str):
+        """(ids, sum of known log10 counts, log10 parts of tail words, number of known tokens, other words with counts)."""
+        found, places, ids, unknown, kinds = self._read(text)
         known = places[places >= 0]
-        within = self.log_count[places[tail][places[tail] >= 0]].sum() - self.tail_log[kinds].sum()
-        others = Counter(found[i] for i in tail if places[i] < 0)
-        return ids, self.log_count[known].sum(), within, int(self.seen[known].sum()), others
+        tail = known[known >= self.v.head]
+        within = self.log_count[tail].sum() - self.tail_log[self.kind[tail]].sum() - self.tail_log[kinds].sum()
+        return ids, self.log_count[known].sum(), within, int(self.seen[known].sum()), Counter(found[i] for i in unknown.tolist())
 
 
 def train(docs: DataFrame, v: Vocabulary, rounds: tuple[tuple[int, int], ...] = ((0, 1), (1, 8))) -> recurrent.Weights:
@@ -177,7 +188,7 @@ def _learner(weights: recurrent.Weights, v: Vocabulary):
         trainer, reader, pack, held = recurrent.Trainer(weights), Reader(v), [], 0
         for batch in slices(batches, "text"):
             for text in batch.column("text"):
-                pack.append(reader.ids(text.as_py())[0])
+                pack.append(reader.ids(text.as_py()))
                 held += len(pack[-1])
                 if held >= PACK_TOKENS:
                     trainer.learn(pack)
@@ -208,7 +219,7 @@ def _scorer(weights: recurrent.Weights, v: Vocabulary):
         reader, pack, held = Reader(v), [], 0
         for batch in slices(batches, "text"):
             for key, text in zip(batch.column("doc_id"), batch.column("text")):
-                pack.append((key, *reader.ids(text.as_py())))
+                pack.append((key, *reader.facts(text.as_py())))
                 held += len(pack[-1][1])
                 if held >= PACK_TOKENS:
                     yield scored(pack)
