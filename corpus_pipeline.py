@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrystone.llm import bpe, dedup, mixing, secrets, toxicity
-from quarrystone.llm.common import Query, fold, stored, table
+from quarrystone.llm.common import Query, bounded_batches, fold, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR = dedup.Settings(width=5, percent=80)
@@ -61,12 +61,18 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _bounded(stage: Stage) -> Stage:
+    return lambda spark, docs, sf_dir: stage(bounded_batches(spark), docs, sf_dir)
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", drop_toxic),
-    ("near copies", drop_near_copies),
-    ("secrets", mask_secrets),
-    ("mixing", mix_sources),
-    ("byte BPE", encode),
+    ("toxicity", _bounded(drop_toxic)),
+    ("near copies", _bounded(drop_near_copies)),
+    ("secrets", _bounded(mask_secrets)),
+    ("mixing", _bounded(mix_sources)),
+    ("byte BPE", _bounded(encode)),
 ]
 
 

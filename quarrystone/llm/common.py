@@ -26,8 +26,14 @@ class Query:
     sql: str | None = None
 
 
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Has rows go to Python in batches of a thousand: ten thousand whole documents, held on both sides, are too many."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def schema(frame: DataFrame, columns: list[str], more: str) -> StructType:

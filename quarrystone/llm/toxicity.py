@@ -52,7 +52,7 @@ class Model:
 class Windows:
     """Remembers the difference of the compressed lengths per distinct window."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __init__(self, ordinary: bytes, toxic: bytes) -> None:
         import zstandard as z
