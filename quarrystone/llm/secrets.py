@@ -77,7 +77,7 @@ def novel_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int,
     low = text.lower()
     if not any(w in low for w in SENSITIVE):
         return []
-    found, i = [], 0
+    found, rest, i = [], [], 0
     for m in CANDIDATE.finditer(text):
         while i < len(known) and known[i][2] <= m.start():
             i += 1
@@ -85,11 +85,21 @@ def novel_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int,
             continue
         lead = text[max(0, m.start() - REACH) : m.start()].lower()
         if not any(w in lead for w in SENSITIVE):
+            rest.append(m)
             continue
-        before, after = text[max(0, m.start() - AROUND) : m.start()], text[m.end() : m.end() + AROUND]
-        if novelty(before, m[0], after) >= LEAST_NOVELTY:
+        if novelty(*_surroundings(text, m)) >= LEAST_NOVELTY:
             found.append((m.start(), 3, m.end()))
-    return found
+    # A key is one wherever else it stands.
+    keys = {text[s:e] for s, _, e in found}
+    return sorted(found + [(m.start(), 3, m.end()) for m in rest if m[0] in keys])
+
+
+def _surroundings(text: str, m: re.Match) -> tuple[str, str, str]:
+    """What stands before and after a candidate, without the candidate's other occurrences, and itself between."""
+    reach = AROUND + len(m[0])  # an occurrence that the bound cuts goes too
+    before = text[max(0, m.start() - reach) : m.start()].replace(m[0], "")
+    after = text[m.end() : m.end() + reach].replace(m[0], "")
+    return before[-AROUND:], m[0], after[:AROUND]
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:

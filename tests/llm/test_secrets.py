@@ -58,3 +58,15 @@ def test_redact_keeps_rows_columns_and_clean_texts(odd, documents):
 def test_odd_rows_and_empty_table(odd):
     assert secrets.scan(odd).count() == odd.count()
     assert secrets.scan(odd.where(F.lit(False))).count() == 0
+
+
+def test_a_key_that_repeats_nearby_is_found_at_every_place(documents):
+    key = "Zx9Qw3Er7Ty1Ui5Op2As8Df4Gh6Jk0Lz"
+    twice = f"curl -H 'Authorization: Bearer {key}' /a\ncurl -H 'Authorization: Bearer {key}' /b"
+    far = f"bearer {key} " + "and so on with plain words " * 18 + f"token {key} end"
+    echoed = f"bearer {key} " + "then the log of the call says it used the one named here " * 2 + key
+    texts = [twice, far, echoed]
+    for row in secrets.scan(documents(texts)).collect():
+        places = [m.start() for m in re.finditer(key, texts[row.doc_id])]
+        assert len(places) == 2 and row.spans == ",".join(f"novel:{p}:{p + len(key)}" for p in places)
+    assert all(key not in r.text for r in secrets.redact(documents(texts)).collect())
