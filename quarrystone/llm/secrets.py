@@ -31,6 +31,10 @@ KINDS = ("assign", "access", "hex", "novel")
 SENSITIVE = ("key", "secret", "passw", "pwd", "token", "auth", "bearer", "credential", "private", "signature")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 REACH = 48
+# What may stand between the parts of one key: line ends, also escaped ones, dots and quotes with the blanks around.
+JOINT = re.compile(r"""[ \t+,]{0,64}(?:[.\r\n"'`]|\\[rn]?)(?:[.\r\n"'` \t+,]|\\[rn]?){0,64}""")
+# The last line of a key block may be shorter than a candidate.
+REMAINDER = re.compile(JOINT.pattern + r"([A-Za-z0-9+/_=-]{1,19})(?=" + JOINT.pattern + "-----END)")
 AROUND = 512
 LEAST_NOVELTY = 0.7
 
@@ -73,24 +77,30 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def novel_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Incompressible runs after a sensitive word that touch no known span."""
+    """Incompressible runs after a sensitive word, or directly after a span that has one, that touch no known span."""
     low = text.lower()
     if not any(w in low for w in SENSITIVE):
         return []
-    found, rest, i = [], [], 0
+    found, rest, i, last = [], [], 0, -1
     for m in CANDIDATE.finditer(text):
         while i < len(known) and known[i][2] <= m.start():
+            if KINDS[known[i][1]] != "hex":  # digests need no sensitive word
+                last = max(last, known[i][2])
             i += 1
         if any(s < m.end() and m.start() < e for s, _, e in known[i : i + 8]):
             continue
         lead = text[max(0, m.start() - REACH) : m.start()].lower()
-        if not any(w in lead for w in SENSITIVE):
+        follows = last >= 0 and JOINT.fullmatch(text, last, m.start())
+        if not follows and not any(w in lead for w in SENSITIVE):
             rest.append(m)
             continue
         if novelty(*_surroundings(text, m)) >= LEAST_NOVELTY:
             found.append((m.start(), 3, m.end()))
+            last = m.end()
+            if short := REMAINDER.match(text, last):
+                found.append((short.start(1), 3, short.end(1)))
     # A key is one wherever else it stands.
-    keys = {text[s:e] for s, _, e in found}
+    keys = {text[s:e] for s, _, e in found if e - s >= 20}
     return sorted(found + [(m.start(), 3, m.end()) for m in rest if m[0] in keys])
 
 

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 
 from pyspark.sql import functions as F
 
@@ -70,3 +72,15 @@ def test_a_key_that_repeats_nearby_is_found_at_every_place(documents):
         places = [m.start() for m in re.finditer(key, texts[row.doc_id])]
         assert len(places) == 2 and row.spans == ",".join(f"novel:{p}:{p + len(key)}" for p in places)
     assert all(key not in r.text for r in secrets.redact(documents(texts)).collect())
+
+
+def test_a_key_block_and_a_dotted_token_are_runs_of_spans(documents):
+    rng = random.Random(11)
+    code = lambda n: "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=n))
+    lines = [code(64) for _ in range(12)] + [code(14) + "=="]
+    block = lambda end: end.join(["-----BEGIN PRIVATE KEY-----", *lines, "-----END PRIVATE KEY-----"])
+    parts = [code(40), code(90), code(43)]
+    plain = "\nthe lines after it stay\nas_a_rather_long_identifier_of_the_configuration_here\n"
+    texts = [block("\n") + plain, "x = '" + block("\\n") + "'" + plain, "Authorization: Bearer " + ".".join(parts) + plain]
+    for row in secrets.redact(documents(texts)).collect():
+        assert row.text.endswith(plain) and not any(x in row.text for x in lines + parts)
