@@ -77,7 +77,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def novel_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Incompressible runs after a sensitive word, or directly after a span that has one, that touch no known span."""
+    """Incompressible runs after a sensitive word, or directly after a part that has one, that touch no known span."""
     low = text.lower()
     if not any(w in low for w in SENSITIVE):
         return []
@@ -94,9 +94,9 @@ def novel_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int,
         if not follows and not any(w in lead for w in SENSITIVE):
             rest.append(m)
             continue
+        last = m.end()  # a part just below the bound doesn't end the run
         if novelty(*_surroundings(text, m)) >= LEAST_NOVELTY:
             found.append((m.start(), 3, m.end()))
-            last = m.end()
             if short := REMAINDER.match(text, last):
                 found.append((short.start(1), 3, short.end(1)))
     # A key is one wherever else it stands.
