@@ -88,6 +88,24 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 21)
             start = stop
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spreads unsigned 64-bit values; one to one."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+def sliding(least: np.ufunc, values: np.ndarray, size: int) -> np.ndarray:
+    """``np.minimum`` or ``np.maximum`` over every window of ``size`` values, by doubling."""
+    held = 1
+    while held < size:
+        step = min(held, size - held)
+        values = least(values[: len(values) - step], values[step:])
+        held += step
+    return values
+
+
 @functools.lru_cache(maxsize=4)
 def rank_file(path: str) -> dict[bytes, int]:
     """Byte strings and their ranks from a file of base64 and number lines."""

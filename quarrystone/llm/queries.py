@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import bpe, chat, dedup, language, mixing, quality, scoring, secrets, topk, toxicity
+from quarrystone.llm import bpe, chat, codes, decontamination, dedup, language, mixing, periodic, quality, scoring, secrets, topk, toxicity
 
-QUERIES = {**bpe.QUERIES, **secrets.QUERIES, **language.QUERIES, **chat.QUERIES, **quality.QUERIES, **scoring.QUERIES, **mixing.QUERIES, **dedup.QUERIES, **topk.QUERIES, **toxicity.QUERIES}
+_MODULES = (bpe, secrets, quality, chat, scoring, language, mixing, dedup, topk, toxicity, decontamination, periodic, codes)
+QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
