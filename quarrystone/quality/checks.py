@@ -14,8 +14,11 @@ from quarrystone.quality.contracts import Contract
 
 Tables = Mapping[str, DataFrame]
 
-# How many copies of an orphan key one task writes out at a time.
+# How many copies of an orphan key are written out from one row, how many such rows make a task's share, and the
+# most tasks; beyond that number each one's share grows.
 COPIES_PER_ROW = 100_000
+BLOCKS_PER_TASK = 10
+MOST_TASKS = 100_000
 
 # Checks that look at one row at a time, as the predicate that marks a violation.
 ROW_CHECKS: dict[str, Callable[[Contract], Column]] = {
@@ -50,13 +53,18 @@ def orphan_rows(tables: Tables, contract: Contract) -> DataFrame:
     """The key of every child row that has no parent, once per row.
 
     Rows with the same key are the same here, so they are written out again
-    from the counts per key. The copies of one key come from as many tasks as
-    there are blocks of them.
+    from the counts per key, in blocks. The number of tasks follows from the
+    number of rows to write, which is summed first; the blocks of one key are
+    dealt over them.
     """
+    keys = orphan_keys(tables, contract)
+    rows = keys.agg(F.sum("n")).first()[0] or 0
+    tasks = max(1, min(MOST_TASKS, -(-rows // (COPIES_PER_ROW * BLOCKS_PER_TASK))))
     block = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {COPIES_PER_ROW}")))
     copies = F.least(F.lit(COPIES_PER_ROW).cast("long"), F.col("n") - F.col("block") * COPIES_PER_ROW)
-    blocks = orphan_keys(tables, contract).select(contract.column, "n", block.alias("block"))
-    spread = blocks.hint("rebalance", contract.column, "block")
+    blocks = keys.select(contract.column, "n", block.alias("block"))
+    # Adaptive execution merges partitions by the bytes they read, but keeps a number that is asked for.
+    spread = blocks.repartition(tasks, contract.column, "block")
     return spread.select(contract.column, F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(contract.column)
 
 

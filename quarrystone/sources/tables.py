@@ -46,34 +46,46 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def _csv_text(df: DataFrame, name: str) -> Column:
-    """A column as it goes into CSV: doubles in plain decimal notation, all else as it is.
+def _plain_text(value: Column) -> Column:
+    """A double in plain decimal notation that reads back to the same double.
 
-    The shortest text of a double is taken apart and its digits are placed by
-    the exponent, so the plain text reads back to the same double.
+    The shortest text of a double is d.dddEn with one digit before the point,
+    or plain already. Its digits are placed by the exponent.
     """
-    column = F.col(f"`{name}`")
-    if dict(df.dtypes)[name] != "double":
-        return column
-    text = column.cast("string")
+    text = value.cast("string")
+    mantissa = F.substring_index(text, "E", 1)
+    power = F.substring_index(text, "E", -1).cast("int")
+    digits = F.rtrim(F.replace(F.replace(mantissa, F.lit("-"), F.lit("")), F.lit("."), F.lit("")), F.lit("0"))
     sign = F.when(F.startswith(text, F.lit("-")), "-").otherwise("")
-    head = F.regexp_extract(text, r"^-?(\d+)\.(\d+)E(-?\d+)$", 1)
-    tail = F.regexp_replace(F.regexp_extract(text, r"^-?(\d+)\.(\d+)E(-?\d+)$", 2), "^0$", "")
-    power = F.regexp_extract(text, r"^-?(\d+)\.(\d+)E(-?\d+)$", 3).cast("int")
-    digits = F.concat(head, tail)
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
     whole = F.rpad(digits, F.greatest(power + 1, F.length(digits)), F.lit("0"))
     rest = F.substring(whole, power + 2, F.length(whole))
     large = F.concat(F.substring(whole, F.lit(1), power + 1), F.lit("."), F.when(rest == "", "0").otherwise(rest))
     plain = F.concat(sign, F.when(power < 0, small).otherwise(large))
-    return F.when(F.contains(text, F.lit("E")), plain).otherwise(text).alias(name)
+    return F.when(F.contains(text, F.lit("E")), plain).otherwise(text)
+
+
+def csv_texts(df: DataFrame) -> DataFrame:
+    """The columns as they go into CSV: doubles in plain decimal notation, all else as it is.
+
+    All doubles of a row go through one function over an array, so the code
+    generated for a table doesn't grow with the number of its columns.
+    """
+    doubles = [name for name, kind in df.dtypes if kind == "double"]
+    if not doubles:
+        return df
+    texts = F.transform(F.array(*[F.col(f"`{name}`") for name in doubles]), _plain_text)
+    held = "_".join(["texts", *df.columns])
+    wide = df.withColumn(held, texts)
+    place = {name: i for i, name in enumerate(doubles)}
+    return wide.select(*[F.col(f"`{held}`")[place[n]].alias(n) if n in place else F.col(f"`{n}`") for n in df.columns])
 
 
 def export_csv(df: DataFrame, path: str) -> int:
     """Replace a folder of CSV files with header and return the row count, taken while writing."""
     seen = Observation("rows exported")
     (
-        df.select(*[_csv_text(df, name) for name in df.columns])
+        csv_texts(df)
         .observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)

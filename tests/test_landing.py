@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
+from quarrystone.sources import landing
 from quarrystone.sources.landing import Source, land_all, land_csv, land_jsonl, row_counts
 from quarrystone.sources.tables import adhoc_sql, export_csv, materialize_table, read_table, table_exists, write_table
 
@@ -69,6 +73,40 @@ def test_csv_windows_lines(spark, tmp_path, multiline):
     assert _rows(land_csv(spark, path, multiline)) == [("1", "x"), ("2", "")]
 
 
+def _whole_reader(spark, path, names):
+    """Spark's own reader of whole files, by one task each."""
+    schema = ", ".join(f"{n} string" for n in names)
+    reader = spark.read.options(header=True, escape='"', emptyValue="", multiLine=True).schema(schema)
+    return sorted((tuple("" if v is None else v for v in r) for r in reader.csv(path).collect()), key=str)
+
+
+@pytest.mark.parametrize("size", [64, 101, 1000, 100_000])
+def test_csv_records_over_block_edges(spark, conf, tmp_path, size):
+    """Line breaks, doubled quotes and delimiters in quoted fields, stray quotes in others, cut anywhere into blocks."""
+    rng = random.Random(size)
+    for f in range(2):
+        rows = []
+        for i in range(250):
+            long = "".join(rng.choice(['line\n', '""', ",", "x", "\n\n", "\r\n", " "]) for _ in range(rng.choice((0, 3, 20, 200))))
+            rows.append(rng.choice([f'{f}-{i},"{long}",z', f'"{long}k{i}",y,"{long}"', f'{i},5" pipe,7"', f'{i},"",""""']))
+        _file(tmp_path, f"d/{f}.csv", "a,b,c\n" + "\n".join(rows) + "\n")
+    conf({"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1"})
+    df = land_csv(spark, str(tmp_path / "d"), multiline=True)
+    assert _rows(df) == _whole_reader(spark, str(tmp_path / "d"), "abc")
+    assert df.count() == 500
+
+
+def test_csv_break_on_the_edge_of_a_block_and_field_over_many_blocks(spark, conf, tmp_path):
+    text = 'a,b\n1,"' + "x" * 56 + '\ny"\n2,"' + "long\n" * 200 + '"\n3,z\n4,"no end\n'
+    path = _file(tmp_path, "in.csv", text)
+    assert text.index("\ny") == 63
+    conf({"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "1"})
+    lines = land_csv(spark, path, multiline=True)
+    assert _rows(lines)[:3] == [("1", "x" * 56 + "\ny"), ("2", "long\n" * 200), ("3", "z")]
+    assert lines.count() == 4
+    assert lines.select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_csv_header_only_is_empty_and_no_header_raises(spark, tmp_path):
     assert land_csv(spark, _file(tmp_path, "h.csv", "a,b\n")).count() == 0
     with pytest.raises(ValueError, match="no header"):
@@ -98,6 +136,14 @@ def test_jsonl_keeps_a_key_of_one_file_only(spark, tmp_path):
     assert ("2", "3") in _rows(land_jsonl(spark, str(tmp_path / "j")))
 
 
+def test_jsonl_with_too_many_keys_must_be_declared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "MOST_KEYS", 20)
+    path = _file(tmp_path, "k.jsonl", "".join(f'{{"k{i}": {i}}}\n' for i in range(21)))
+    with pytest.raises(ValueError, match="declare the columns"):
+        land_jsonl(spark, path)
+    assert land_jsonl(spark, path, ["k3"]).where("k3 = '3'").count() == 1
+
+
 def test_jsonl_empty_and_malformed_raise(spark, tmp_path):
     with pytest.raises(ValueError, match="is empty"):
         land_jsonl(spark, _file(tmp_path, "e.jsonl", "\n\n"))
@@ -144,6 +190,16 @@ def test_export_writes_doubles_without_exponent(spark, tmp_path):
     assert not any("e" in t.lower() for t in texts)
 
 
+def test_export_of_many_doubles_compiles(spark, conf, tmp_path):
+    """Generated code that fails to compile would raise here, instead of being replaced by slower evaluation."""
+    conf({"spark.sql.codegen.fallback": "false", "spark.sql.codegen.factoryMode": "CODEGEN_ONLY"})
+    wide = spark.range(20).select("id", *[(F.col("id") * 10.0 ** (i - 20)).alias(f"d{i}") for i in range(60)], F.lit("t").alias("texts"))
+    assert export_csv(wide, str(tmp_path / "out")) == 20
+    back = land_csv(spark, str(tmp_path / "out"))
+    assert back.columns == wide.columns
+    assert sorted([float(x) for x in r[1:-1]] for r in back.collect()) == sorted(list(r[1:-1]) for r in wide.collect())
+
+
 def test_partitioned_table_keeps_types_and_order(spark, tmp_path):
     df = spark.createDataFrame([("2024-01", 1), ("2024-02", 2), (None, 3)], "m string, x int")
     path = str(tmp_path / "t")
