@@ -68,11 +68,17 @@ def encode(
     and ``ids`` (array of int). A null or empty text has no ids. Repeated rows
     and null ids each get their row. Other columns of ``docs`` are not read.
     """
+    short, long = _by_length(docs, vocabulary, id_column, chunk, overlap)
+    both = short.mapInArrow(_encoder(vocabulary), schema(short, ["id"], "ids array<int>")).unionByName(long)
+    return both.select(F.col("id").alias(id_column), F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+def _by_length(docs: DataFrame, vocabulary: str, id_column: str, chunk: int, overlap: int) -> tuple[DataFrame, DataFrame]:
+    """((id, text) of texts of one chunk at most, (id, ids) of longer ones)."""
     if not 0 < overlap < chunk:
         raise ValueError("overlap must be positive and smaller than chunk")
     texts = docs.select(F.col(id_column).alias("id"), whole_text().alias("text"))
     is_long = F.length("text") > chunk
-    short = texts.where(~is_long).mapInArrow(_encoder(vocabulary), schema(texts, ["id"], "ids array<int>"))
 
     # Rows with equal id and text share a key; their pieces are equal and meet in a set.
     keyed = texts.where(is_long).withColumn("key", F.xxhash64("text", "id"))
@@ -118,8 +124,7 @@ def encode(
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("count").cast("int"))))
         .select("id", "ids")
     )
-    both = short.unionByName(long)
-    return both.select(F.col("id").alias(id_column), F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return texts.where(~is_long), long
 
 
 def decode(encoded: DataFrame, vocabulary: str, ids_column: str = "ids") -> DataFrame:
@@ -202,28 +207,38 @@ def _boundary_finder(chunk: int, overlap: int):
     return run
 
 
-def _digester(size: int):
+def _digester(vocabulary: str, given: str):
+    """(id, text or ids) to the number of tokens and the digests of the ids and of the decoded bytes.
+
+    Encoding, decoding and digests are one function, so that a task has one
+    Python worker and neither ids nor bytes go back to the JVM.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        sha = lambda b: hashlib.sha256(b).hexdigest()
-        names = list(map(str, range(size)))
-        for batch in slices(batches, "ids"):
-            ids = [sha(",".join([names[i] for i in row]).encode()) for row in _lists(batch.column("ids"))]
-            decoded = [sha(b.as_py()) for b in batch.column("bytes")]
+        strings, encode = _byte_strings(vocabulary), _encoding(vocabulary).encode_ordinary
+        names = [str(i) for i in range(len(strings))]
+        for batch in slices(batches, given, 1 << 19):
+            counts, of_ids, of_bytes = [], [], []
+            for ids in _lists(batch.column("ids")) if given == "ids" else map(encode, batch.column("text").to_pylist()):
+                counts.append(len(ids))
+                of_ids.append(hashlib.sha256(",".join([names[i] for i in ids]).encode()).hexdigest())
+                of_bytes.append(hashlib.sha256(b"".join([strings[i] for i in ids])).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_tokens"), pa.array(ids), pa.array(decoded)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                [batch.column("id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
+                names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
     return run
 
 
-def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """Encodes, decodes and digests; see ``encode``."""
-    decoded = decode(encode(docs, vocabulary), vocabulary)
-    out = schema(decoded, ["doc_id", "n_tokens"], "ids_sha256 string, decoded_sha256 string")
-    return decoded.mapInArrow(_digester(max(rank_file(vocabulary).values()) + 1), out)
+def digests(docs: DataFrame, vocabulary: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """Encodes, decodes and digests: doc_id, n_tokens, ids_sha256 and decoded_sha256; rows as in ``encode``."""
+    out = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    short, long = _by_length(docs, vocabulary, "doc_id", chunk, overlap)
+    whole = short.mapInArrow(_digester(vocabulary, "text"), schema(short, ["id"], out))
+    return whole.unionByName(long.mapInArrow(_digester(vocabulary, "ids"), schema(long, ["id"], out))).withColumnRenamed("id", "doc_id")
 
 
 QUERIES = {

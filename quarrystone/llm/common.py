@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -27,8 +28,12 @@ class Query:
 
 
 def bounded_batches(spark: SparkSession) -> SparkSession:
-    """Has rows go to Python in batches of a thousand: ten thousand whole documents, held on both sides, are too many."""
+    """Has rows go to Python in batches of a thousand rows and a few megabytes at most: batches are held on both sides.
+
+    The settings stay in the session; they bound memory and change no result.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark
 
 
@@ -62,10 +67,34 @@ def word_count(text: Column) -> Column:
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, BLANK_RUN))).cast("long")
 
 
+_MADE: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_paths() -> Iterator[list[str]]:
+    """The paths of the tables that ``stored`` writes inside, in their order."""
+    made: list[str] = []
+    _MADE.append(made)
+    try:
+        yield made
+    finally:
+        _MADE.remove(made)
+
+
+def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Removes stored tables that nothing reads any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared scratch folder and read back: recomputed by nobody, lost with no executor."""
     spark = frame.sparkSession
     path = scratch_dir(spark, label)
+    for made in _MADE:
+        made.append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

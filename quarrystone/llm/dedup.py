@@ -25,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import Query, schema, slices, stored, table, whole_text
+from quarrystone.llm.common import Query, mixed, schema, slices, stored, table, whole_text
 
 BATCH = 30
 # A shingle in at most so many bucketed sets is rare: the pairs that share it are listed, not bounded.
 RARE = 16
+# Members of a bucket are dealt into tiles of about so many; every pair of tiles is a group of its own.
+TILE = 256
 
 
 @dataclass(frozen=True)
@@ -55,14 +57,6 @@ class Settings:
         return self.rows * self.bands
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Spreads 64-bit values; one to one."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
-
-
 def shingles(text: str, width: int) -> np.ndarray:
     """Sorted distinct 64-bit values of the word runs of a text, ASCII letters in lower case.
 
@@ -79,7 +73,7 @@ def shingles(text: str, width: int) -> np.ndarray:
     each = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     runs = np.zeros(len(words) - width + 1, np.uint64)
     for i in range(width):
-        runs = _mixed(runs + each[i : i + len(runs)])
+        runs = mixed(runs + each[i : i + len(runs)])
     return np.unique(runs)
 
 
@@ -115,8 +109,15 @@ def least_matches(settings: Settings) -> list[tuple[int, int]]:
     return out
 
 
-def _features(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, n, set hash and signature of every row."""
+def _keyed_texts(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, text and further columns with a key of two hashes of the text."""
+    texts = docs.select("doc_id", *more, whole_text().alias("text"))
+    return texts.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(1), "text")})
+
+
+def _features(docs: DataFrame, s: Settings, keep: tuple[str, ...]) -> DataFrame:
+    """doc_id, columns to keep, key of the text, n, set hash and signature of every row."""
+    names = ["doc_id", *keep, "k1", "k2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -125,16 +126,16 @@ def _features(docs: DataFrame, s: Settings) -> DataFrame:
             sets = [shingles(t.as_py(), s.width) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    *(batch.column(c) for c in names),
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()),
                     pa.array([signature(x, s.hashes).tobytes() if len(x) else b"" for x in sets], pa.binary()),
                 ],
-                names=["doc_id", "n", "hash", "sig"],
+                names=[*names, "n", "hash", "sig"],
             )
 
-    texts = docs.select("doc_id", whole_text().alias("text"))
-    return texts.mapInArrow(run, schema(texts, ["doc_id"], "n long, hash binary, sig binary"))
+    texts = _keyed_texts(docs, *keep)
+    return texts.mapInArrow(run, schema(texts, names, "n long, hash binary, sig binary"))
 
 
 def _buckets(classes: DataFrame, s: Settings) -> DataFrame:
@@ -146,14 +147,14 @@ def _buckets(classes: DataFrame, s: Settings) -> DataFrame:
             for band in range(s.bands):
                 value = np.full(len(sigs), band + 1, np.uint64)
                 for i in range(band * s.rows, (band + 1) * s.rows):
-                    value = _mixed(value + sigs[:, i] + np.uint64(0x9E3779B97F4A7C15))
+                    value = mixed(value + sigs[:, i] + np.uint64(0x9E3779B97F4A7C15))
                 yield pa.RecordBatch.from_arrays([batch.column("c"), pa.array(value.view(np.int64))], names=["c", "bucket"])
 
     return classes.select("c", "sig").mapInArrow(run, "c long, bucket long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
-    """(c, items) of the wanted classes (c, rep, hash), from the documents that stand for them."""
+    """(c, items) of the wanted classes (c, rep, hash), from the texts that stand for them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -164,9 +165,10 @@ def _sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
             made = pa.RecordBatch.from_arrays([batch.column("c"), pa.array(sets, pa.binary())], names=["c", "items"])
             yield made.filter(pa.array(same))
 
-    texts = docs.select(F.col("doc_id").alias("rep"), whole_text().alias("text"))
-    met = texts.join(wanted, "rep").select("c", "hash", "text")
-    # Rows that repeat a document's id and text give the same set again.
+    rep = wanted.select("c", "hash", F.col("rep.doc_id").alias("rep_id"), F.col("rep.k1").alias("k1"), F.col("rep.k2").alias("k2"))
+    texts = _keyed_texts(docs).join(rep, ["k1", "k2"])
+    met = texts.where(F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("c", "hash", "text")
+    # Rows that repeat a document's id and text, or a text without an id, give the same set again.
     return met.mapInArrow(run, "c long, items binary").dropDuplicates(["c"])
 
 
@@ -226,20 +228,24 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, n_shingles, component_id (least doc_id of the component) and kept (doc_id = component_id).
+def near_duplicates(docs: DataFrame, settings: Settings = Settings(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, component_id (least doc_id of the component) and kept (doc_id = component_id), with the columns
+    of ``keep`` and ``component``, a number per component (null for texts without words).
 
     One row per row of ``docs``. Texts without words are linked with nothing.
-    Rows with a null doc_id link like others but lend no id: a component of only
-    such rows has a null id, and they are kept. Repeated rows share a component.
+    Rows with a null doc_id link like others, also between others, but lend no
+    id: a component of only such rows has a null id, and they are kept. Repeated
+    rows share a component.
     """
     s = settings
-    features = stored(_features(docs, s), "dedup-features")
-    numbered = features.where("n > 0").groupBy("hash", "n").agg(F.min("doc_id").alias("rep")).where("rep is not null")
+    numbered = _features(docs, s, keep).withColumn("row", F.monotonically_increasing_id())
     # The numbers are stored before they are used, so they never change.
-    classes = stored(numbered.withColumn("c", F.monotonically_increasing_id()), "dedup-classes")
-    standing = features.select(F.col("doc_id").alias("rep"), "hash", "sig")
-    sigs = classes.join(standing, ["rep", "hash"]).select("c", "sig").dropDuplicates(["c"])
+    features = stored(numbered, "dedup-features")
+    # The row that stands for a class: the one with the least id, if any has one.
+    order = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "k1", "k2", "row")
+    made = features.where("n > 0").groupBy("hash", "n").agg(F.min(order).alias("rep"))
+    classes = stored(made.withColumn("c", F.monotonically_increasing_id()), "dedup-classes")
+    sigs = features.select("row", "sig").join(classes.select("c", F.col("rep.row").alias("row")), "row").select("c", "sig")
     sigs = stored(sigs, "dedup-signatures")
 
     entries = stored(_buckets(sigs, s), "dedup-bands")
@@ -267,12 +273,12 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         labels = components(links.unionByName(more))
 
     named = classes.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
-    least_id = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    of_class = named.join(least_id, "label").select("hash", "component_id")
-    rows = features.select("doc_id", "n", "hash")
+    least_id = named.groupBy("label").agg(F.min("rep.doc_id").alias("component_id"))
+    of_class = named.join(least_id, "label").select("hash", "component_id", F.col("label").alias("component"))
+    rows = features.select("doc_id", *keep, "n", "hash")
     placed = rows.join(of_class, "hash", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return placed.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
+    return placed.select("doc_id", *keep, F.col("n").alias("n_shingles"), component.alias("component_id"), "component").withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
@@ -331,9 +337,14 @@ def _unlinked_pairs(known: DataFrame, labels: DataFrame, sets: DataFrame, s: Set
     often = stored(often, "dedup-often")
     lists = often.groupBy("c").agg(F.sort_array(F.collect_list("bucket")).alias("all"))
     listed = stored(often.join(lists, "c"), "dedup-listed")
-    left, right = listed.withColumnsRenamed(as_a), listed.withColumnsRenamed(as_b)
+    # A bucket of many is dealt into tiles, whose pairs come from different tasks.
+    tiles = often.groupBy("bucket").agg(F.ceil(F.count("*") / TILE).alias("tiles"))
+    listed = listed.join(tiles, "bucket").withColumn("own", F.pmod(F.xxhash64("c"), F.col("tiles")))
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
+    left = listed.withColumnsRenamed(as_a).withColumns({"i": F.col("own"), "j": others}).drop("own", "tiles")
+    right = listed.withColumnsRenamed(as_b).withColumns({"j": F.col("own"), "i": others}).drop("own", "tiles")
     first = F.array_min(F.array_intersect("all_a", "all_b"))
-    met = left.join(right, "bucket").where("a < b and label_a != label_b and n_b <= reach_a and n_a <= reach_b")
+    met = left.join(right, ["bucket", "i", "j"]).where("a < b and label_a != label_b and n_b <= reach_a and n_a <= reach_b")
     met = met.where(F.col("bucket") == first).select("a", "b")
 
     index = rare.join(facts, "c")
@@ -345,4 +356,27 @@ def _unlinked_pairs(known: DataFrame, labels: DataFrame, sets: DataFrame, s: Set
     return met.unionByName(close).distinct()
 
 
-QUERIES = {"op8_near_duplicates": Query(lambda spark, sf_dir: near_duplicates(table(spark, sf_dir, "documents")))}
+def _of_documents(docs: DataFrame) -> DataFrame:
+    return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+# All pairs that share a shingle, and the least id by spreading it over links until nothing changes.
+SQL = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+cut AS (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 2, 1))) AS s FROM d WHERE len(w) > 0),
+items AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[s + 1 : s + 3], ' ') AS item FROM cut),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM items GROUP BY doc_id),
+both AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM items AS x JOIN items AS y ON x.item = y.item AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT a, b FROM both JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)
+),
+edges AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links UNION SELECT doc_id, doc_id FROM d),
+reach AS (SELECT a, b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least AS component_id, doc_id = least AS kept
+FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS least FROM reach GROUP BY a) USING (doc_id)
+"""
+
+QUERIES = {"op8_near_duplicates": Query(lambda spark, sf_dir: _of_documents(table(spark, sf_dir, "documents")), SQL)}

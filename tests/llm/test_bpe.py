@@ -53,6 +53,15 @@ def test_round_trip_and_odd_rows(odd):
     assert sorted((r.doc_id is None, r.doc_id or 0, bytes(r.bytes).decode()) for r in rows) == given
 
 
+def test_digests_of_short_and_long_texts(documents, odd):
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want = sorted((i, len(plain_ids(t)), sha(",".join(map(str, plain_ids(t))).encode()), sha(t.encode())) for i, t in enumerate(TEXTS))
+    for chunk, overlap in ((16_384, 512), (40, 8)):
+        assert sorted(map(tuple, bpe.digests(documents(TEXTS), VOCABULARY, chunk, overlap).collect())) == want
+    rows = bpe.digests(odd, VOCABULARY, 4_000, 100).collect()
+    assert sorted(r.decoded_sha256 for r in rows) == sorted(sha((r.text or "").encode()) for r in odd.collect())
+
+
 def test_digests(documents):
     text = "some text with words"
     row = bpe.digests(documents([text]), VOCABULARY).first()

@@ -74,6 +74,34 @@ def test_a_shared_passage_links_nobody(documents):
     assert found(documents, rows, dedup.Settings()) == brute(rows, 3, 85)
 
 
+def test_a_text_without_an_id_links_two_others(documents):
+    words = [f"w{i}" for i in range(102)]
+    ends = [" ".join(words[:92]), " ".join(words[10:])]
+    middle = " ".join(words[4:98])
+    for bridge in (3, None):
+        rows = [(1, ends[0]), (2, ends[1]), (bridge, middle), (bridge, middle)]
+        want = brute(rows, 3, 85)
+        assert found(documents, rows, dedup.Settings()) == want and {c for _, _, c in want} == {"1"}
+    assert {c for _, _, c in brute([(1, ends[0]), (2, ends[1])], 3, 85)} == {"1", "2"}
+    rows = [(None, ends[0]), (None, ends[1]), (None, middle), (None, "other words here")]
+    groups = dedup.near_duplicates(documents(rows)).collect()
+    assert all(r.kept and r.component_id is None for r in groups) and len({r.component for r in groups}) == 2
+
+
+def test_tiles_of_a_bucket_lose_no_pair(documents, monkeypatch):
+    monkeypatch.setattr(dedup, "TILE", 3)
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(70)]
+    rows = []
+    for i in range(120):
+        own = [f"d{i // 2}x{j}" for j in range(14)]
+        if i % 2:
+            own[rng.randrange(14)] = "z"
+        rows.append((i, " ".join(passage + own)))
+    want = brute(rows, 3, 85)
+    assert found(documents, rows, dedup.Settings()) == want and len({c for _, _, c in want}) > 20
+
+
 def test_odd_rows_and_empty_table(odd):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = dedup.near_duplicates(odd).collect()
