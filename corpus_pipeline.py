@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quarrystone.llm import bpe, dedup, mixing, secrets, toxicity
-from quarrystone.llm.common import Query, bounded_batches, fold, stored, table
+from quarrystone.llm.common import Query, bounded_batches, drop_scratch, fold, scratch_paths, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR = dedup.Settings(width=5, percent=80)
@@ -24,16 +25,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.select(*COLUMNS), model).where(F.col("toxicity") < toxicity.THRESHOLD).select(*COLUMNS)
 
 
+def _row_key() -> tuple[Column, Column]:
+    """Two hashes over all columns of a row: rows with one key are equal and may stand for each other."""
+    return F.xxhash64(*COLUMNS).alias("k1"), F.xxhash64(*reversed(COLUMNS), F.lit(1)).alias("k2")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies: the one with the least id, once if its row repeats
-    with the same text.
+    """One row of every group of near copies: the one with the least id (null last), equal ids by their row keys.
 
-    Rows with a null id have no group and all stay.
+    Rows without words have no group and all stay.
     """
-    groups = dedup.near_duplicates(docs, NEAR).where("kept and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
-    own = docs.where("doc_id is null").select(*COLUMNS)
-    kept = docs.select(*COLUMNS).join(groups, docs.doc_id == groups.id, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(own)
+    rows = docs.select(*COLUMNS, *_row_key())
+    named = rows.withColumnsRenamed({"k1": "r1", "k2": "r2"})
+    groups = dedup.near_duplicates(named, NEAR, keep=("r1", "r2"))
+    order = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", F.col("r1").alias("k1"), F.col("r2").alias("k2"))
+    one = groups.where("component is not null").groupBy("component").agg(F.min(order).alias("first")).select("first.k1", "first.k2")
+    chosen = rows.join(one, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    wordless = rows.where(mixing.word_count(mixing.whole_text()) == 0)
+    return chosen.select(*COLUMNS).unionByName(wordless.select(*COLUMNS))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,15 +53,17 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: never, once or twice, a part of one counting as the whole."""
-    taken = mixing.mix(stored(mixing.sizes(docs), "mix-sizes")).documents
-    times = F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1))).cast("int")
-    # Rows of one id and source are told apart by their sizes; equal rows share what they take.
-    per_key = taken.groupBy(F.col("doc_id").alias("k"), F.col("source").alias("s"), "size")
-    per_key = per_key.agg(F.max(times).alias("times")).withColumnRenamed("size", "z")
-    rows = docs.select(*COLUMNS, mixing.word_count(mixing.whole_text()).alias("size"))
-    on = rows.doc_id.eqNullSafe(per_key.k) & rows.source.eqNullSafe(per_key.s) & (rows["size"] == per_key.z)
-    joined = rows.join(per_key, on).where("times > 0")
-    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
+    rows = docs.select(*COLUMNS, F.struct(*_row_key()).alias("key"), mixing.word_count(mixing.whole_text()).alias("size"))
+    sized = stored(rows.select("key", "source", "size"), "mix-sizes")
+    taken = mixing.mix(sized, id_column="key").documents
+    times = F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))
+    per_key = taken.groupBy("key").agg(F.sum(times).alias("times"), F.count("*").alias("rows")).where("times > 0")
+    # Equal rows share what they take: the first ones by number get one more.
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("size"))
+    joined = rows.join(per_key, "key").withColumn("nth", nth)
+    copies = F.expr("times div rows + if(nth <= times % rows, 1, 0)").cast("int")
+    repeated = joined.withColumn("copies", copies).where("copies > 0")
+    return repeated.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,9 +88,14 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What a stage has left in the scratch folder goes when the next one's rows are stored."""
     docs = table(spark, sf_dir, "documents")
+    before: list[str] = []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        with scratch_paths() as made:
+            docs = stored(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        drop_scratch(spark, [*before, *made[:-1]])
+        before = made[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
