@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from quarrystone.llm import secrets, toxicity
+from quarrystone.llm import common, secrets, toxicity
 from tests.llm.test_dedup import brute
 
 DATA = "/root/testdata/sf0.001"
@@ -52,3 +53,30 @@ def test_whole_run_and_odd_rows(spark, odd):
             docs = stage(spark, docs, DATA)
         ids = {r.doc_id for r in docs.collect()}
         assert ids <= {None, *range(1, 9)}
+
+
+def test_rows_of_one_id_or_none_are_told_apart(spark, documents):
+    text = lambda w: " ".join(f"{w}{i}" for i in range(40))
+    stages = dict(pipeline.STAGES)
+    rows = [(1, text("a")), (2, text("b")), (2, text("a")), (2, text("b"), "en"), (None, text("c")), (None, text("c")), (None, text("a")), (3, None)]
+    kept = [tuple(r)[:2] for r in stages["near copies"](spark, documents(rows), DATA).collect()]
+    assert sorted(kept, key=str) == sorted([(1, text("a")), (2, text("b")), (None, text("c")), (3, None)], key=str)
+
+    sources = [(None, text(f"x{i}"), None, "one") for i in range(60)] + [(7, text("same"), None, "two")] * 60 + [(i, text(f"z{i}"), None, "three") for i in range(60)]
+    mixed = stages["mixing"](spark, documents(sources), DATA).collect()
+    words = Counter(r.source for r in mixed)
+    total = 60 * 3 * 40
+    share = {"one": 5 / 8, "two": 1 / 8, "three": 2 / 8}
+    # A source stops at twice its size; what it leaves goes to the others by weight. A document counts whole.
+    targets = {s: min(2 * 60 * 40, x * 1.5 * total) for s, x in share.items()}
+    assert abs(words["one"] * 40 - targets["one"]) <= 40
+    assert max(Counter(r.text for r in mixed if r.source == "one").values()) <= 2
+    assert sum(words.values()) * 40 >= 1.49 * total
+
+
+def test_scratch_tables_of_earlier_stages_go(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(common, "scratch_dir", lambda spark, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
+    rows = pipeline.run(spark, DATA)
+    assert rows.count() > 0
+    names = [p.name for p in tmp_path.iterdir()]
+    assert sum(n.startswith("stage-") for n in names) == 1 and not any(n.startswith(("dedup", "mix", "toxicity")) for n in names)
