@@ -84,34 +84,40 @@ class Lanes:
             yield self.inputs[part], self.targets[part], self.document[part], self.fresh[part]
 
 
+# States, gates and logits are laid out as (units, lanes or tokens): every slice of units is one block of memory.
+# Logits above this don't occur in training; the bound keeps their exponentials finite.
+MOST_LOGIT = 60.0
+
+
 def _states(w: Weights, inputs: np.ndarray, fresh: np.ndarray, h: np.ndarray, kept: list | None = None):
-    """Hidden states of a window and the last one; ``kept`` gets what the way back needs."""
-    size = h.shape[1]
-    x = w["E"][inputs]
-    x += w["b"]
-    out = np.empty((*inputs.shape, size), h.dtype)
+    """Hidden states (steps, units, lanes) of a window and the last one; ``kept`` gets what the way back needs."""
+    size, lanes = h.shape
+    table = np.ascontiguousarray(w["E"].T) + w["b"][:, None]
+    turn = np.ascontiguousarray(w["U"].T)
+    out = np.empty((len(inputs), size, lanes), h.dtype)
+    any_fresh = fresh.any(axis=1)
     for t in range(len(inputs)):
-        if fresh[t].any():
-            h = h * ~fresh[t][:, None]
-        a = h @ w["U"]
+        if any_fresh[t]:
+            h = h * ~fresh[t]
+        x, a = table.take(inputs[t], axis=1), turn @ h
         # The logistic function as a hyperbolic tangent, in place.
-        gates = x[t, :, : 2 * size]
-        gates += a[:, : 2 * size]
+        gates = x[: 2 * size]
+        gates += a[: 2 * size]
         gates *= 0.5
         np.tanh(gates, out=gates)
         gates += 1
         gates *= 0.5
-        z, r = gates[:, :size], gates[:, size:]
-        n = r * a[:, 2 * size :]
-        n += x[t, :, 2 * size :]
+        z, r = gates[:size], gates[size:]
+        n = x[2 * size :]
+        n += r * a[2 * size :]
         np.tanh(n, out=n)
         if kept is not None:
-            kept.append((h, z, r, n, a[:, 2 * size :]))
-        out[t] = h
-        h = out[t]
-        h -= n
-        h *= z
-        h += n
+            kept.append((h, z, r, n, a[2 * size :]))
+        after = out[t]
+        np.subtract(h, n, out=after)
+        after *= z
+        after += n
+        h = after
     return out, h
 
 
@@ -121,85 +127,102 @@ def _classes(w: Weights, targets: np.ndarray) -> np.ndarray:
     return np.where(targets < heads * CLASS_SIZE, targets // CLASS_SIZE, targets - heads * CLASS_SIZE + heads)
 
 
-def _softmax(x: np.ndarray, target: np.ndarray, rows: np.ndarray, gradient: bool) -> np.ndarray:
-    """Log probability of each row's target. ``x`` is used up; with ``gradient`` it becomes that of the negative."""
-    x -= x.max(axis=1, keepdims=True)
-    picked = x[rows, target]
+def _softmax(x: np.ndarray, target: np.ndarray, columns: np.ndarray, gradient: bool) -> np.ndarray:
+    """Log probability of each column's target. ``x`` is used up; with ``gradient`` it becomes that of the negative."""
+    np.minimum(x, MOST_LOGIT, out=x)
+    picked = x[target, columns]
     np.exp(x, out=x)
-    total = x.sum(axis=1)
+    total = x.sum(axis=0)
     if gradient:
-        x /= total[:, None]
-        x[rows, target] -= 1
+        x /= total
+        x[target, columns] -= 1
     return picked - np.log(total)
 
 
 def _outputs(w: Weights, states: np.ndarray, targets: np.ndarray, grads: Weights | None):
-    """Natural log probability of each target; with ``grads`` also the gradients of their negative sum."""
-    own, rows, learn = _classes(w, targets), np.arange(len(targets)), grads is not None
-    d = states @ w["C"]
-    d += w["cb"]
-    logs = _softmax(d, own, rows, learn)
+    """Natural log probability of each target from states (units, tokens); with ``grads`` also the gradients of their negative sum."""
+    own, columns, learn = _classes(w, targets), np.arange(len(targets)), grads is not None
+    d = w["C"].T @ states
+    d += w["cb"][:, None]
+    logs = _softmax(d, own, columns, learn)
     back = None
     if learn:
-        grads["C"], grads["cb"] = states.T @ d, d.sum(axis=0)
-        back = d @ w["C"].T
+        grads["C"], grads["cb"] = states @ d.T, d.sum(axis=1)
+        back = w["C"] @ d
         grads["W"], grads["wb"] = np.zeros_like(w["W"]), np.zeros_like(w["wb"])
     heads = w["W"].shape[0]
-    # Rows in the order of their classes, so that each class is one slice.
-    order = np.argsort(own, kind="stable")
+    # Tokens in the order of their classes, so that each class is one slice.
+    order = np.argsort(own.astype(np.int16), kind="stable")
     cuts = np.searchsorted(own[order], np.arange(heads + 1))
     order = order[: cuts[-1]]
-    inner, places, found = states[order], targets[order] % CLASS_SIZE, np.empty(len(order), logs.dtype)
+    inner, places, found = states.take(order, axis=1), targets[order] % CLASS_SIZE, np.empty(len(order), logs.dtype)
     into = np.empty_like(inner)
     for c in range(heads):
         part = slice(cuts[c], cuts[c + 1])
         if cuts[c] == cuts[c + 1]:
             continue
-        own_states = inner[part]
-        d = own_states @ w["W"][c]
-        d += w["wb"][c]
-        found[part] = _softmax(d, places[part], rows[: len(d)], learn)
+        own_states = inner[:, part]
+        d = w["W"][c].T @ own_states
+        d += w["wb"][c][:, None]
+        found[part] = _softmax(d, places[part], columns[: d.shape[1]], learn)
         if learn:
-            grads["W"][c], grads["wb"][c] = own_states.T @ d, d.sum(axis=0)
-            into[part] = d @ w["W"][c].T
+            grads["W"][c], grads["wb"][c] = own_states @ d.T, d.sum(axis=1)
+            into[:, part] = w["W"][c] @ d
     logs[order] += found
     if learn:
-        back[order] += into
+        back[:, order] += into
     return logs, back
 
 
 def _backward(w: Weights, inputs: np.ndarray, fresh: np.ndarray, kept: list, back: np.ndarray, grads: Weights) -> None:
     """Backpropagation through the steps of one window; the state that came in is taken as given."""
-    size = back.shape[2]
-    dx, dh = np.empty((*inputs.shape, 3 * size), np.float32), np.zeros_like(back[0])
-    grads["U"] = np.zeros_like(w["U"])
-    for t in range(len(inputs) - 1, -1, -1):
+    steps, size, lanes = back.shape
+    dx, dh, turn = np.empty((steps, 3 * size, lanes), back.dtype), np.zeros_like(back[0]), w["U"]
+    grads["U"] = np.zeros_like(turn)
+    da, any_fresh = np.empty((3 * size, lanes), back.dtype), fresh.any(axis=1)
+    for t in range(steps - 1, -1, -1):
         h, z, r, n, an = kept[t]
         dh = dh + back[t]
-        dz, dn = dh * (h - n) * z * (1 - z), dh * (1 - z) * (1 - n * n)
-        dr = dn * an * r * (1 - r)
-        dx[t] = np.concatenate([dz, dr, dn], axis=1)
-        da = np.concatenate([dz, dr, dn * r], axis=1)
-        grads["U"] += h.T @ da
-        dh = dh * z + da @ w["U"].T
-        if fresh[t].any():
-            dh *= ~fresh[t][:, None]
-    rows = dx.reshape(-1, 3 * size)
+        step = dx[t]
+        open_ = dh * z
+        rest = dh - open_
+        np.multiply(open_, 1 - z, out=step[:size])
+        step[:size] *= h - n
+        dn = step[2 * size :]
+        np.multiply(rest, 1 - n * n, out=dn)
+        passed = da[2 * size :]
+        np.multiply(dn, r, out=passed)
+        np.multiply(passed, an, out=step[size : 2 * size])
+        step[size : 2 * size] *= 1 - r
+        da[: 2 * size] = step[: 2 * size]
+        grads["U"] += h @ da.T
+        dh = turn @ da
+        dh += open_
+        if any_fresh[t]:
+            dh *= ~fresh[t]
+    rows = dx.transpose(0, 2, 1).reshape(-1, 3 * size)
     grads["b"] = rows.sum(axis=0)
-    order = np.argsort(inputs.ravel(), kind="stable")
+    order = np.argsort(inputs.ravel().astype(np.uint16), kind="stable")
     ids = inputs.ravel()[order]
     starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
     grads["E ids"], grads["E"] = ids[starts], np.add.reduceat(rows[order], starts, axis=0)
 
 
+def _by_token(states: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """(steps, units, lanes) to (units, known tokens)."""
+    flat = states.transpose(1, 0, 2).reshape(states.shape[1], -1)
+    return flat if known.all() else flat[:, known.ravel()]
+
+
 def gradients(w: Weights, inputs: np.ndarray, targets: np.ndarray, known: np.ndarray, fresh: np.ndarray, h: np.ndarray):
     """(sum of log probabilities, gradients of its negative, state after) of one window; ``known`` marks real tokens."""
     kept: list = []
     states, after = _states(w, inputs, fresh, h, kept)
     grads: Weights = {}
-    logs, back_known = _outputs(w, states[known], targets[known], grads)
-    back = np.zeros_like(states)
-    back[known] = back_known
+    logs, back_known = _outputs(w, _by_token(states, known), targets[known], grads)
+    flat = np.zeros((h.shape[0], inputs.size), states.dtype)
+    flat[:, known.ravel()] = back_known
+    back = np.ascontiguousarray(flat.reshape(h.shape[0], *inputs.shape).transpose(1, 0, 2))
     _backward(w, inputs, fresh, kept, back, grads)
     return float(logs.sum()), grads, after
 
@@ -220,7 +243,7 @@ class Trainer:
         plan = Lanes(documents, w["E"].shape[0] - 1, lanes)
         for inputs, targets, document, fresh in plan.windows(WINDOW):
             known = document >= 0
-            h = np.zeros((inputs.shape[1], w["U"].shape[0]), np.float32) if h is None else h
+            h = np.zeros((w["U"].shape[0], inputs.shape[1]), np.float32) if h is None else h
             _, grads, h = gradients(w, inputs, targets, known, fresh, h)
             self.tokens += int(known.sum())
             scale = np.float32(1 / np.sqrt(max(1, known.sum())))
@@ -237,10 +260,10 @@ def log10_likelihoods(w: Weights, documents: list[np.ndarray], lanes: int = 256)
     """Log10 probability of every whole document, states carried from window to window."""
     plan = Lanes(documents, w["E"].shape[0] - 1, lanes)
     totals = np.zeros(len(documents))
-    h = np.zeros((plan.inputs.shape[1], w["U"].shape[0]), np.float32)
+    h = np.zeros((w["U"].shape[0], plan.inputs.shape[1]), np.float32)
     for inputs, targets, document, fresh in plan.windows(WINDOW):
         states, h = _states(w, inputs, fresh, h)
         known = document >= 0
-        logs, _ = _outputs(w, states[known], targets[known], None)
+        logs, _ = _outputs(w, _by_token(states, known), targets[known], None)
         totals += np.bincount(document[known], logs, len(documents))
     return totals / np.log(10)

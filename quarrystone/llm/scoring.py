@@ -1,10 +1,14 @@
 """Language-model scoring of whole documents.
 
 Word counts cover all training documents. The frequent words (a bounded number)
-go to every task; the counts of all others meet the documents in a join. The
-network learns from every training document once: each task trains on its own
-documents from common weights, and the weights are averaged by tokens, first
-over an eighth of the documents, then over the rest.
+go to every task; the counts of all others meet the documents in a join. Texts
+are read once into numbers of words, which training and scoring share.
+
+The network learns from every training document once. Documents are dealt by a
+hash into shards, as many as their tokens ask for, so neither files nor tasks
+have a say in the result. Every shard trains from common weights, in the order
+of the hash, and the weights are averaged by tokens, a bounded number at a
+time: first over an eighth of the documents, then over the rest.
 """
 
 from __future__ import annotations
@@ -25,11 +29,14 @@ from quarrystone.llm.common import Query, fold, schema, slices, stored, table, w
 
 HEAD_WORDS = 1_024
 KNOWN_WORDS = 65_536
-TAIL_CLASSES = 32
+TAIL_CLASSES = 24
 SMOOTHING = 0.1
 END = b""
 # Documents run side by side in lanes; more of them at once keep the lanes full beside a very long one.
-PACK_TOKENS = 3_000_000
+PACK_TOKENS = 6_000_000
+# Training documents make one shard per so many tokens; averages take so many weights at a time.
+SHARD_TOKENS = 4_000_000
+FAN_IN = 64
 COUNT_ENTRIES = 250_000
 CHUNK = 4_096
 
@@ -97,7 +104,11 @@ def vocabulary(counts: DataFrame, head_words: int = HEAD_WORDS, known_words: int
         if held >= known_words:
             break
         least = r["level"]
-    found = [] if least is None else counts.where(level >= least).collect()
+    if least is None:
+        # So many words share the highest level that they don't all fit: the first ones by count and word.
+        found = counts.orderBy(F.desc("c"), "word").limit(known_words).collect()
+    else:
+        found = counts.where(level >= least).collect()
     ordered = sorted(((bytes(r.word), r.c) for r in found if bytes(r.word) != END), key=lambda x: (-x[1], x[0]))
     end = counts.where(F.col("word") == END).agg(F.sum("c")).first()[0] or 0
     known = {END: end} | dict(ordered)
@@ -142,9 +153,6 @@ class Reader:
         ids[unknown] = self.v.slots + kinds
         return found, places, ids, unknown, kinds
 
-    def ids(self, text: str) -> np.ndarray:
-        return self._read(text)[2]
-
     def facts(self, text: str):
         """(ids, sum of known log10 counts, log10 parts of tail words, number of known tokens, other words with counts)."""
         found, places, ids, unknown, kinds = self._read(text)
@@ -154,94 +162,117 @@ class Reader:
         return ids, self.log_count[known].sum(), within, int(self.seen[known].sum()), Counter(found[i] for i in unknown.tolist())
 
 
-def train(docs: DataFrame, v: Vocabulary, rounds: tuple[tuple[int, int], ...] = ((0, 1), (1, 8))) -> recurrent.Weights:
-    """Weights after one pass over all texts; ``rounds`` are ranges of a document hash modulo 8."""
+def read(texts: DataFrame, v: Vocabulary) -> DataFrame:
+    """(doc_id, hash, text) to the numbers of a text's words and what counts alone say about it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(v)
+        for batch in slices(batches, "text"):
+            ids, base, within, known, others = zip(*(reader.facts(text.as_py()) for text in batch.column("text")))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("hash"),
+                    pa.array([x.astype(np.uint16).tobytes() for x in ids], pa.binary()),
+                    pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array(known, pa.int64()),
+                    pa.array(base, pa.float64()),
+                    pa.array(within, pa.float64()),
+                    pa.array([list(o) for o in others], pa.list_(pa.binary())),
+                    pa.array([list(o.values()) for o in others], pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "hash", "ids", "n_tokens", "known", "base", "within", "words", "times"],
+            )
+
+    out = "hash long, ids binary, n_tokens long, known long, base double, within double, words array<binary>, times array<long>"
+    return texts.mapInArrow(run, schema(texts, ["doc_id"], out))
+
+
+def train(rows: DataFrame, v: Vocabulary, rounds: tuple[tuple[int, int], ...] = ((0, 1), (1, 8))) -> recurrent.Weights:
+    """Weights after one pass over all rows (hash, ids); ``rounds`` are ranges of the hash modulo 8."""
     weights = v.initial()
     size = recurrent.flat(weights).size
     for low, high in rounds:
-        part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(8))
-        chosen = docs.where((part >= low) & (part < high)).select("text")
-        sums = chosen.mapInArrow(_learner(weights, v), "chunk int, lane int, n double, x binary")
-        for keys in (["chunk", "lane"], ["chunk"]):
-            sums = sums.groupBy(*keys).applyInArrow(_added, "chunk int, lane int, n double, x binary")
-        rows = sorted(sums.collect(), key=lambda r: r.chunk)
-        if rows and rows[0].n:
-            total = np.concatenate([np.frombuffer(r.x, np.float64) / r.n for r in rows])
+        part = F.pmod("hash", F.lit(8))
+        shards = max(1, round(v.tokens * (high - low) / 8 / SHARD_TOKENS))
+        shard = F.pmod(F.xxhash64("hash"), F.lit(shards)).cast("int").alias("shard")
+        dealt = rows.where((part >= low) & (part < high)).select(shard, "hash", "ids").repartition(2 * shards, "shard")
+        sums = dealt.groupBy("shard").applyInArrow(_learner(weights), "chunk int, lane int, n double, x binary")
+        while shards > 1:
+            shards = -(-shards // FAN_IN)
+            sums = sums.withColumn("meet", F.expr(f"lane div {FAN_IN}").cast("int"))
+            sums = sums.groupBy("chunk", "meet").applyInArrow(_added, "chunk int, lane int, n double, x binary")
+        found = sorted(sums.collect(), key=lambda r: r.chunk)
+        if found and found[0].n:
+            total = np.concatenate([np.frombuffer(r.x, np.float64) / r.n for r in found])
             weights = recurrent.shaped(total[:size], weights)
     return weights
 
 
 def _added(group: pa.Table) -> pa.Table:
+    group = group.sort_by("lane")
     total = np.sum([np.frombuffer(x.as_py(), np.float64) for x in group["x"]], axis=0)
     n = float(np.sum(group["n"].to_numpy()))
     return pa.table(
-        {"chunk": group["chunk"][:1], "lane": group["lane"][:1], "n": pa.array([n]), "x": pa.array([total.tobytes()], pa.binary())}
+        {
+            "chunk": group["chunk"][:1],
+            "lane": group["meet"][:1],
+            "n": pa.array([n]),
+            "x": pa.array([total.tobytes()], pa.binary()),
+        }
     )
 
 
-def _learner(weights: recurrent.Weights, v: Vocabulary):
-    """Trains on the texts of a task and gives its weights times its tokens, in chunks, for the average."""
+def _numbers(ids: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(ids.as_py(), np.uint16).astype(np.int32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
 
-        trainer, reader, pack, held = recurrent.Trainer(weights), Reader(v), [], 0
-        for batch in slices(batches, "text"):
-            for text in batch.column("text"):
-                pack.append(reader.ids(text.as_py()))
-                held += len(pack[-1])
-                if held >= PACK_TOKENS:
-                    trainer.learn(pack)
-                    pack, held = [], 0
+def _learner(weights: recurrent.Weights):
+    """Trains on one shard and gives its weights times its tokens, in chunks, for the average."""
+
+    def run(shard: pa.Table) -> pa.Table:
+        trainer, pack, held = recurrent.Trainer(weights), [], 0
+        for ids in shard.sort_by("hash")["ids"]:
+            pack.append(_numbers(ids))
+            held += len(pack[-1])
+            if held >= PACK_TOKENS:
+                trainer.learn(pack)
+                pack, held = [], 0
         if pack:
             trainer.learn(pack)
-        if trainer.tokens:
-            total = recurrent.flat(trainer.w).astype(np.float64) * trainer.tokens
-            parts = [total[i : i + CHUNK].tobytes() for i in range(0, len(total), CHUNK)]
-            lane, n = TaskContext.get().partitionId() % 64, len(parts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(range(n), pa.int32()),
-                    pa.array([lane] * n, pa.int32()),
-                    pa.array([float(trainer.tokens)] * n),
-                    pa.array(parts, pa.binary()),
-                ],
-                names=["chunk", "lane", "n", "x"],
-            )
+        total = recurrent.flat(trainer.w).astype(np.float64) * trainer.tokens
+        parts = [total[i : i + CHUNK].tobytes() for i in range(0, len(total), CHUNK)]
+        n = len(parts)
+        return pa.table(
+            {
+                "chunk": pa.array(range(n), pa.int32()),
+                "lane": pa.array([shard["shard"][0].as_py()] * n, pa.int32()),
+                "n": pa.array([float(trainer.tokens)] * n),
+                "x": pa.array(parts, pa.binary()),
+            }
+        )
 
     return run
 
 
-def _scorer(weights: recurrent.Weights, v: Vocabulary):
-    """(doc_id, text) to what is known of each text without the rare words' counts, and those words."""
+def _scorer(weights: recurrent.Weights, kept: list[str]):
+    """Replaces the columns ids and within by the model's log10 probability of the whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, pack, held = Reader(v), [], 0
-        for batch in slices(batches, "text"):
-            for key, text in zip(batch.column("doc_id"), batch.column("text")):
-                pack.append((key, *reader.facts(text.as_py())))
-                held += len(pack[-1][1])
-                if held >= PACK_TOKENS:
-                    yield scored(pack)
-                    pack, held = [], 0
+        pack, held = [], 0
+        for batch in slices(batches, "ids"):
+            pack.append(batch)
+            held += batch.column("ids").nbytes // 2
+            if held >= PACK_TOKENS:
+                yield scored(pack)
+                pack, held = [], 0
         if pack:
             yield scored(pack)
 
-    def scored(pack: list) -> pa.RecordBatch:
-        keys, ids, base, within, known, others = zip(*pack)
-        model = recurrent.log10_likelihoods(weights, list(ids)) + np.array(within)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(keys, keys[0].type),
-                pa.array([len(x) for x in ids], pa.int64()),
-                pa.array(known, pa.int64()),
-                pa.array(base, pa.float64()),
-                pa.array(model, pa.float64()),
-                pa.array([list(o) for o in others], pa.list_(pa.binary())),
-                pa.array([list(o.values()) for o in others], pa.list_(pa.int64())),
-            ],
-            names=["doc_id", "n_tokens", "known", "base", "model", "words", "times"],
-        )
+    def scored(pack: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(pack).combine_chunks()
+        model = recurrent.log10_likelihoods(weights, [_numbers(x) for x in rows["ids"]]) + rows["within"].to_numpy()
+        return rows.select(kept).append_column("model", pa.array(model)).combine_chunks().to_batches()[0]
 
     return run
 
@@ -253,13 +284,12 @@ def score(docs: DataFrame) -> DataFrame:
     rows are scored each. Without training documents the network keeps its first
     weights and every word is new.
     """
-    texts = docs.select("doc_id", whole_text().alias("text"))
-    learned = texts.where(fold(10) != 0)
-    counts = stored(count_words(learned), "lm-counts")
+    texts = docs.select("doc_id", whole_text().alias("text")).withColumn("hash", F.xxhash64("doc_id", "text"))
+    learned = fold(10) != 0
+    counts = stored(count_words(texts.where(learned)), "lm-counts")
     v = vocabulary(counts)
-    weights = train(learned, v)
-    out = schema(texts, ["doc_id"], "n_tokens long, known long, base double, model double, words array<binary>, times array<long>")
-    rows = stored(texts.mapInArrow(_scorer(weights, v), out).withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+    rows = stored(read(texts, v).withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+    weights = train(rows.where(learned), v)
     rare = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", "w.words", "w.times")
     met = rare.join(counts.select(F.col("word").alias("words"), "c"), "words", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     sums = met.groupBy("row").agg(
@@ -268,7 +298,9 @@ def score(docs: DataFrame) -> DataFrame:
     )
     whole = float(np.log10(v.tokens + SMOOTHING * (v.distinct + 1)))
     rare_part = F.coalesce("rare", F.lit(0.0))
-    return rows.select("row", "doc_id", "n_tokens", "known", "base", "model").join(sums, "row", "left").select(
+    kept = ["row", "doc_id", "n_tokens", "known", "base"]
+    modelled = rows.select(*kept, "within", "ids").mapInArrow(_scorer(weights, kept), schema(rows, kept, "model double"))
+    return modelled.join(sums, "row", "left").select(
         "doc_id",
         (fold(10) == 0).alias("held_out"),
         "n_tokens",

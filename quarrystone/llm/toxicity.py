@@ -49,6 +49,14 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(features @ np.array(self.weights), -30, 30)))
 
 
+def pieces(text: str) -> set[str]:
+    """The distinct windows of a text: words, and of longer ones parts of WINDOW characters that overlap by half."""
+    out: set[str] = set()
+    for word in set(text.lower().split()):
+        out.update([word] if len(word) <= WINDOW else [word[i : i + WINDOW] for i in range(0, len(word), WINDOW // 2)])
+    return out
+
+
 class Windows:
     """Remembers the difference of the compressed lengths per distinct window."""
 
@@ -82,14 +90,12 @@ class Windows:
 
     def counts(self, text: str) -> list[int]:
         """Distinct windows by difference, for each of DIFFERENCES, then the number of distinct windows."""
-        out = [0] * (len(DIFFERENCES) + 1)
-        for word in set(text.lower().split()):
-            parts = [word] if len(word) <= WINDOW else [word[i : i + WINDOW] for i in range(0, len(word), WINDOW // 2)]
-            out[-1] += len(parts)
-            for part in parts:
-                d = self(part)
-                if d > 0:
-                    out[min(d, len(DIFFERENCES)) - 1] += 1
+        windows, out = pieces(text), [0] * (len(DIFFERENCES) + 1)
+        out[-1] = len(windows)
+        for window in windows:
+            d = self(window)
+            if d > 0:
+                out[min(d, len(DIFFERENCES)) - 1] += 1
         return out
 
 
@@ -127,9 +133,9 @@ def _with_family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct words of each text with the text's other columns."""
+    """The distinct windows of each text with the text's other columns."""
     for batch in slices(batches, "text"):
-        held = [[w for w in set(t.as_py().lower().split()) if len(w) <= WINDOW] for t in batch.column("text")]
+        held = [pieces(t.as_py()) for t in batch.column("text")]
         row = pa.array([i for i, found in enumerate(held) for _ in found], pa.int32())
         found = pa.array([w for found in held for w in found], pa.string())
         yield pa.RecordBatch.from_arrays(

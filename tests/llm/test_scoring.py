@@ -72,7 +72,7 @@ def test_gradients():
     weights, docs = small_net()
     rng = np.random.default_rng(1)
     inputs, targets, document, fresh = next(recurrent.Lanes(docs, len(weights["E"]) - 1, 2).windows(40))
-    start = np.zeros((inputs.shape[1], 6))
+    start = np.zeros((6, inputs.shape[1]))
     loss = lambda: -recurrent.gradients(weights, inputs, targets, document >= 0, fresh, start)[0]
     _, grads, _ = recurrent.gradients(weights, inputs, targets, document >= 0, fresh, start)
     dense = np.zeros_like(weights["E"])
@@ -89,6 +89,22 @@ def test_gradients():
             assert (high - low) / 2e-4 == pytest.approx(grad[at], abs=2e-3)
 
 
+def test_scores_do_not_depend_on_tasks(documents, monkeypatch):
+    monkeypatch.setattr(scoring, "SHARD_TOKENS", 2_000)
+    monkeypatch.setattr(scoring, "FAN_IN", 3)
+    frame = documents(texts(200))
+    scores = [sorted((r.doc_id, r.score) for r in scoring.score(frame.repartition(n, "text")).collect()) for n in (1, 4, 32)]
+    for other in scores[1:]:
+        assert [i for i, _ in other] == [i for i, _ in scores[0]]
+        assert [x for _, x in other] == pytest.approx([x for _, x in scores[0]], rel=1e-6)
+
+
+def test_frequent_words_that_share_one_level(documents):
+    counts = documents([(1, " ".join(f"w{i}" for i in range(300)))])
+    v = scoring.vocabulary(scoring.count_words(counts), 8, 100)
+    assert 8 < len(v.known) <= 101 and v.head == 8
+
+
 def test_odd_rows_and_empty_table(odd):
     want = brute_base([(r.doc_id, r.text) for r in odd.collect()])
     got = scoring.score(odd).collect()

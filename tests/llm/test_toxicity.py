@@ -52,3 +52,36 @@ def test_odd_rows_and_missing_labels(spark, odd, documents):
     none = toxicity.classify(odd, spark.createDataFrame([], LABELS)).collect()
     assert len(none) == odd.count() and all(r.score == 0 and r.predicted == 0 for r in none)
     assert toxicity.classify(docs.where(F.lit(False)), spark.createDataFrame(marks, LABELS)).count() == 0
+
+
+def test_scores_match_plain_compression_of_every_window(spark, documents):
+    import numpy as np
+    import zstandard as z
+
+    rows, marks = corpus(200)
+    rows += [(1_000, "idiot " * 30 + "x" * 50 + "moron" + "y" * 90), (1_001, ""), (1_002, "ba" * 300)]
+    model = toxicity.train(documents(rows), spark.createDataFrame(marks, LABELS))
+
+    def compressed(content, window):
+        words = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
+        bits = {x: toxicity.TABLE_BITS for x in ("hash_log", "chain_log", "window_log")}
+        plain = z.ZstdCompressionParameters.from_level(toxicity.LEVEL, **bits, write_content_size=False, write_checksum=False, write_dict_id=False)
+        words.precompute_compress(compression_params=plain)
+        data = (toxicity.HEAD + window + toxicity.TAIL).encode()
+        return len(z.ZstdCompressor(dict_data=words, compression_params=plain).compress(data))
+
+    scored = {r.doc_id: r.toxicity for r in toxicity.score(documents(rows), model).collect()}
+    for i, text in rows[:40] + rows[-3:]:
+        windows = set()
+        for word in text.split():
+            windows |= {word} if len(word) <= 64 else {word[a : a + 64] for a in range(0, len(word), 32)}
+        gains = [compressed(model.ordinary, w) - compressed(model.toxic, w) for w in windows]
+        by_size = [sum(g == d for g in gains) for d in (1, 2, 3)] + [sum(g >= 4 for g in gains)]
+        share = min(0.1, sum(by_size[2:]) / max(1, len(windows))) * 10
+        x = np.array([1, *np.log1p(by_size), share]) @ np.array(model.weights)
+        assert abs(scored[i] - 1 / (1 + np.exp(-x))) < 1e-9
+
+
+def test_parts_of_long_words_teach(documents):
+    text = "a" * 40 + "b" * 40 + " short"
+    assert toxicity.pieces(text) == {"a" * 40 + "b" * 24, "a" * 8 + "b" * 40, "b" * 16, "short"}
