@@ -39,7 +39,7 @@ def test_a_toxic_word_is_shorter_with_the_toxic_dictionary():
     windows = toxicity.Windows(ordinary.encode(), toxic.encode())
     assert windows("disgusting") >= 3 and windows("unrelated") == 0
     counts = windows.counts("disgusting " + "plain " * 10 + "y" * 1_000)
-    assert counts[-1] > 20 and sum(counts[:-1]) == 1
+    assert counts[-1] == 5 and sum(counts[:-1]) == 1
 
 
 def test_odd_rows_and_missing_labels(spark, odd, documents):
