@@ -1,9 +1,13 @@
 """Exact top-k search by inner product with vector-approximation files.
 
-Rows are dealt into bounded blocks, queries into bounded groups, and every block
-meets every group once. Inside a block each dimension is quantised into cells;
-bounds of all scores come from the cells alone, and exact vectors are read in
-the order of their bounds until the k-th result is certain.
+Every vector is stored a second time in one byte per component: with a shift of
+its own, so that its components fit. A component x of cell c and shift s lies in
+c * 2^s ... c * 2^s + 2^s - 1, so one product of a query with the cells bounds
+its score from both sides. The cells are scanned in blocks for groups of
+queries; the k-th best lower bound over all blocks is what a query is certain
+of, and only vectors whose upper bound reaches it remain. Exact vectors are then
+read for these alone, in falling order of their upper bounds: first as many as
+are asked for, then those that may still beat the k-th exact score.
 """
 
 from __future__ import annotations
@@ -16,12 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarrystone.llm.common import Query, table
+from quarrystone.llm.common import Query, schema, stored, table
 
-CELLS = 16
-BLOCK_ROWS = 8_192
-GROUP_QUERIES = 2_048
-STEP = 64
+BLOCK_ROWS = 16_384
+GROUP_QUERIES = 4_096
+# Queries whose bounds over a block are held at once.
+STEP = 128
+LONG = 2**63 - 1
 
 
 def whole_components(vector: Column, scale: int = 256) -> Column:
@@ -30,35 +35,117 @@ def whole_components(vector: Column, scale: int = 256) -> Column:
     return F.when(~odd, F.transform(vector, lambda x: F.floor(scale * x.cast("double"))))
 
 
-def _best(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
-    """(query's place, vector's id, score) of the k best of this block for each query."""
-    wide = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * vectors.shape[1] >= 2.0**52
-    exact = vectors.astype(object) if wide else vectors.astype(np.float64)
-    asked = queries.astype(object) if wide else queries.astype(np.float64)
-    # The approximation: a cell number per component, and the bounds of each dimension's cells.
-    low, high = vectors.min(axis=0).astype(np.float64), vectors.max(axis=0).astype(np.float64)
-    width = np.maximum((high - low) / CELLS, 1e-9)
-    cells = np.clip(((vectors - low) / width).astype(np.int64), 0, CELLS - 1).astype(np.uint8)
-    slack = (np.abs(low) + np.abs(high) + 1) * 1e-9
-    floor, ceiling = low + cells * width - slack, low + (cells + 1) * width + slack
-    up, down = np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64)
-    for start in range(0, len(queries), 256):
-        part = slice(start, start + 256)
-        upper = up[part] @ ceiling.T + down[part] @ floor.T
-        lower = up[part] @ floor.T + down[part] @ ceiling.T
-        for q in range(len(upper)):
-            others = ids != own[start + q]
-            certain = np.partition(lower[q][others], -k)[-k] if others.sum() > k else -np.inf
-            found = np.flatnonzero(others & (upper[q] >= certain))
-            found = found[np.argsort(-upper[q][found], kind="stable")]
-            scores = np.zeros(0, exact.dtype)
-            for at in range(0, len(found), STEP):
-                if at >= k and np.partition(scores.astype(np.float64), -k)[-k] > upper[q][found[at]]:
-                    break
-                scores = np.concatenate([scores, exact[found[at : at + STEP]] @ asked[start + q]])
-            read = found[: len(scores)]
-            for i in sorted(range(len(read)), key=lambda i: (-scores[i], ids[read[i]]))[:k]:
-                yield start + q, int(ids[read[i]]), max(-(2**63), min(2**63 - 1, int(scores[i])))
+def _lists(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Lists of one length as a matrix."""
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.asarray(whole.flatten()).reshape(len(whole), -1)
+
+
+def approximate(rows: DataFrame) -> DataFrame:
+    """(row, id, dims, x) to (row, id, dims, shift, cells): one byte per component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shifts, cells = [], []
+            for x in batch.column("x"):
+                x = x.values.to_numpy()
+                # floor(x / 2^s) is within -128 .. 127 from this many bits on.
+                most = max(int(x.max()), -int(x.min()) - 1)
+                shifts.append(max(0, most.bit_length() - 7))
+                cells.append((x >> shifts[-1]).astype(np.int8).tobytes())
+            kept = [batch.column(c) for c in ("row", "id", "dims")]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(shifts, pa.int32()), pa.array(cells, pa.binary())], names=["row", "id", "dims", "shift", "cells"]
+            )
+
+    return rows.select("row", "id", "dims", "x").mapInArrow(run, schema(rows, ["row", "id", "dims"], "shift int, cells binary"))
+
+
+def bounds(cells: np.ndarray, shifts: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest possible score of every query (rows) with every approximated vector (columns)."""
+    wide = float(np.abs(queries.astype(np.float64)).max(initial=0)) * 2.0 ** (7 + int(shifts.max(initial=0))) * (2 * cells.shape[1]) >= 2.0**52
+    kind = object if wide else np.float64
+    width = np.array([2 ** int(s) for s in shifts], kind)
+    asked = queries.astype(kind)
+    middle = (asked @ cells.T.astype(kind)) * width
+    up, down = np.maximum(asked, 0).sum(axis=1), np.minimum(asked, 0).sum(axis=1)
+    return middle + down[:, None] * (width - 1), middle + up[:, None] * (width - 1)
+
+
+def _long(values: np.ndarray) -> pa.Array:
+    if values.dtype == object:
+        values = np.array([max(-LONG - 1, min(LONG, int(x))) for x in values], np.int64)
+    return pa.array(values.astype(np.int64))
+
+
+def _scan(k: int):
+    """Per group of queries and block of cells: the vectors whose upper bound reaches the query's k-th best lower one here."""
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        found = []
+        if left.num_rows and right.num_rows:
+            cells = np.frombuffer(b"".join(left["cells"].to_pylist()), np.int8).reshape(left.num_rows, -1)
+            shifts, ids, rows = (left[c].to_numpy() for c in ("shift", "id", "row"))
+            queries, own, places = _lists(right["x"]), right["id"].to_numpy(), right["row"].to_numpy()
+            for start in range(0, len(queries), STEP):
+                part = slice(start, start + STEP)
+                least, most = bounds(cells, shifts, queries[part])
+                other = ids[None, :] != own[part, None]
+                for q in range(len(least)):
+                    near = np.flatnonzero(other[q])
+                    low, high = least[q][near], most[q][near]
+                    if len(near) > k:
+                        certain = sorted(low)[-k] if low.dtype == object else np.partition(low, -k)[-k]
+                        open_ = high >= certain
+                        near, low, high = near[open_], low[open_], high[open_]
+                    found.append(
+                        pa.table([pa.array(np.full(len(near), places[start + q])), pa.array(rows[near]), _long(low), _long(high)], schema=_FOUND)
+                    )
+        return pa.concat_tables([pa.table([[], [], [], []], schema=_FOUND), *found])
+
+    return run
+
+
+_FOUND = pa.schema([("q", pa.int64()), ("row", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
+
+
+def survivors(rows: DataFrame, k: int, block_rows: int = BLOCK_ROWS, group_queries: int = GROUP_QUERIES) -> DataFrame:
+    """(q, row, high, place): per asking row the vectors that the approximation can't rule out, by falling upper bound."""
+    total, asking = rows.agg(F.count("*"), F.count_if("asks")).first()
+    blocks, groups = max(1, -(-total // block_rows)), max(1, -(-asking // group_queries))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    file = stored(approximate(rows), "topk-cells")
+    dealt = file.select("*", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("b"), numbers(groups).alias("g"))
+    asked = rows.where("asks").select(
+        "row", "id", "dims", "x", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias("g"), numbers(blocks).alias("b")
+    )
+    cut = ["b", "g", "dims"]
+    near = dealt.groupBy(*cut).cogroup(asked.groupBy(*cut)).applyInArrow(_scan(k), "q long, row long, low long, high long")
+    near = stored(near, "topk-near")
+    order = Window.partitionBy("q").orderBy(F.desc("low"), "row")
+    certain = near.withColumn("n", F.row_number().over(order)).where(F.col("n") == k).select("q", F.col("low").alias("certain"))
+    left = near.join(certain, "q", "left").where("certain is null or high >= certain")
+    by_bound = Window.partitionBy("q").orderBy(F.desc("high"), "row")
+    return stored(left.select("q", "row", "high", F.row_number().over(by_bound).alias("place")), "topk-left")
+
+
+def _exact(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(q, row) with the asking id, the vector's id and the exact score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = []
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                x, y = x.values.to_numpy(), y.values.to_numpy()
+                small = float(np.abs(x.astype(np.float64)).max()) * float(np.abs(y.astype(np.float64)).max()) * len(x) < 2.0**62
+                kind = np.int64 if small else object
+                scores.append(max(-LONG - 1, min(LONG, int(x.astype(kind) @ y.astype(kind)))))
+            names = ["q", "row", "query_id", "id"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(scores, pa.int64())], names=[*names, "score"])
+
+    asked = rows.where("asks").select(F.col("row").alias("q"), F.col("id").alias("query_id"), F.col("x").alias("y"))
+    both = pairs.select("q", "row").join(rows.select("row", "id", "x"), "row").join(asked, "q")
+    return both.select("q", "row", "query_id", "id", "x", "y").mapInArrow(run, schema(both, ["q", "row", "query_id", "id"], "score long"))
 
 
 def top_k(
@@ -79,46 +166,18 @@ def top_k(
     its own. Scores beyond the range of a long stop at its end.
     """
     whole = whole_components(F.col(vector_column))
-    rows = (
-        vectors.select(F.col(id_column).alias("id"), whole.alias("x"), is_query.alias("asks"))
-        .where("id is not null and x is not null and size(x) > 0")
-        .withColumn("row", F.monotonically_increasing_id())
-    )
-    total, asking = rows.agg(F.count("*"), F.count_if("asks")).first()
-    blocks, groups = max(1, -(-total // block_rows)), max(1, -(-asking // group_queries))
-    numbers = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
-    dims = F.size("x").alias("dims")
-    stored = rows.select("id", "x", dims, (F.col("row") % blocks).cast("int").alias("b"), F.explode(numbers(groups)).alias("g"))
-    asked = rows.where("asks").select(
-        "id", "row", "x", dims, F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias("g"), F.explode(numbers(blocks)).alias("b")
-    )
-
-    def search(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.table({"query_id": [], "row": [], "id": [], "score": []}, schema=out)
-        shape = lambda t: np.array(t["x"].combine_chunks().flatten()).reshape(t.num_rows, -1)
-        own, row = right["id"].to_numpy(), right["row"].to_numpy()
-        found = list(_best(shape(left), left["id"].to_numpy(), shape(right), own, k))
-        return pa.table(
-            {
-                "query_id": [own[q] for q, _, _ in found],
-                "row": [row[q] for q, _, _ in found],
-                "id": [i for _, i, _ in found],
-                "score": [s for _, _, s in found],
-            },
-            schema=out,
-        )
-
-    out = pa.schema([("query_id", pa.int64()), ("row", pa.int64()), ("id", pa.int64()), ("score", pa.int64())])
-    cut = ["b", "g", "dims"]
-    near = (
-        stored.groupBy(*cut)
-        .cogroup(asked.groupBy(*cut))
-        .applyInArrow(search, "query_id long, row long, id long, score long")
-    )
-    order = Window.partitionBy("query_id", "row").orderBy(F.desc("score"), "id")
+    usable = vectors.select(F.col(id_column).alias("id"), whole.alias("x"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+    usable = usable.where("id is not null and x is not null and size(x) > 0").withColumn("dims", F.size("x"))
+    # The numbers are stored before they are used, so they never change.
+    rows = stored(usable.withColumn("row", F.monotonically_increasing_id()), "topk-rows")
+    left = survivors(rows, k, block_rows, group_queries)
+    first = stored(_exact(left.where(F.col("place") <= k), rows), "topk-first")
+    kth = first.groupBy("q").agg(F.min("score").alias("kth"))
+    open_ = left.where(F.col("place") > k).join(kth, "q").where("high >= kth")
+    scored = first.unionByName(_exact(open_, rows))
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     return (
-        near.withColumn("rank", F.row_number().over(order))
+        scored.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", F.col("id").alias(id_column), "score")
     )

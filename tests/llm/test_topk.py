@@ -45,3 +45,20 @@ def test_nulls_odd_numbers_and_lengths(spark):
 def test_repeated_rows_are_candidates_each(spark):
     rows = [(0, [1.0]), (1, [2.0]), (1, [2.0]), (2, [1.0])]
     assert run(spark, rows, F.col("vec_id") == 0, k=3) == [(0, 1, 1, 131072), (0, 2, 1, 131072), (0, 3, 2, 65536)]
+
+
+def test_bounds_hold_and_few_exact_vectors_are_read(spark):
+    rng = np.random.default_rng(3)
+    for spread in (1, 300, 2**40):
+        x, q = rng.integers(-spread, spread + 1, (50, 6)), rng.integers(-spread, spread + 1, (9, 6))
+        shifts = np.array([max(0, max(int(v.max()), -int(v.min()) - 1).bit_length() - 7) for v in x])
+        cells = (x >> shifts[:, None]).astype(np.int8)
+        low, high = topk.bounds(cells, shifts, q)
+        exact = q.astype(object) @ x.T.astype(object)
+        assert (low <= exact).all() and (exact <= high).all()
+        assert spread > 1 or (low == high).all()
+    vectors = spark.createDataFrame(
+        [(i, [int(v) for v in rng.normal(0, 300, 32)], i % 50 == 0, 32, i) for i in range(2_000)], "id long, x array<long>, asks boolean, dims int, row long"
+    )
+    read = topk.survivors(vectors, 5, block_rows=500).count()
+    assert 5 * 40 <= read < 0.02 * 40 * 2_000
