@@ -369,9 +369,9 @@ WITH RECURSIVE d AS MATERIALIZED (
 cut AS (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 2, 1))) AS s FROM d WHERE len(w) > 0),
 items AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[s + 1 : s + 3], ' ') AS item FROM cut),
 sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM items GROUP BY doc_id),
-both AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM items AS x JOIN items AS y ON x.item = y.item AND x.doc_id < y.doc_id GROUP BY ALL),
+common_items AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM items AS x JOIN items AS y ON x.item = y.item AND x.doc_id < y.doc_id GROUP BY ALL),
 links AS MATERIALIZED (
-  SELECT a, b FROM both JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)
+  SELECT a, b FROM common_items JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)
 ),
 edges AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links UNION SELECT doc_id, doc_id FROM d),
 reach AS (SELECT a, b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a)
