@@ -1,9 +1,9 @@
 """Chat formatting of reply trees.
 
 Messages form trees by their parents. Iterated self-joins double the reach of
-parent links and enumerate the messages between every leaf and its root in
-about log2(depth) rounds; branches are ranked by the mean score of their
-messages, and each chosen one becomes a conversation.
+parent links and add up scores along the way, so about log2(depth) rounds give
+the mean score of every branch from leaf to root; branches are ranked by it, and
+each chosen one is enumerated by the same links and becomes a conversation.
 
 Template: ``<|role|>``, line feed, text, ``<|end|>``, line feed per turn. Inside
 roles and texts ``\\`` becomes ``\\\\`` and ``<|`` becomes ``<\\|``, so control
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarrystone.llm.common import Query, stored, table
+from quarrystone.llm.common import Query, drop_scratch, scratch_paths, stored, table
 
 END = "<|end|>\n"
 HEAD = "|>\n"
@@ -39,41 +39,56 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("|\\>"), F.lit("|>")))
 
 
-def _same(left: DataFrame, right: DataFrame, pairs: dict[str, str]) -> Column:
-    """Null-safe equality of left columns with right ones."""
-    on = F.lit(True)
-    for a, b in pairs.items():
-        on = on & left[a].eqNullSafe(right[b])
-    return on
+def _renamed(frame: DataFrame) -> DataFrame:
+    return frame.withColumnsRenamed({c: "r_" + c for c in frame.columns})
 
 
-def branches(messages: DataFrame) -> DataFrame:
-    """(tree, leaf, node, up): every message on the way from a leaf to its root, ``up`` links above the leaf.
+def _jumps(messages: DataFrame) -> list[DataFrame]:
+    """Tables of (tree, node, above, total, steps), one per round.
 
-    ``messages`` has tree, node and parent. A parent that is null or not in the
-    tree makes a root. Messages that lead into a circle are on no branch.
+    In round k ``above`` is the message 2**k links above the node, null past the
+    root; ``total`` and ``steps`` are the sum of scores and the number of the
+    messages from the node up to it, itself excluded. The rounds end when nobody
+    has a message above, or with more links than messages: the rest goes in circles.
     """
-    nodes = stored(messages.select("tree", "node", "parent"), "chat-nodes")
-    total = nodes.count()
-    known = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"))
-    link = nodes.join(known, nodes.tree.eqNullSafe(known.t) & (nodes.parent == known.n))
-    links = [stored(link.select("tree", "node", F.col("parent").alias("above")), "chat-links")]
-    while not links[-1].isEmpty() and 2 ** (len(links) - 1) <= total:
-        low = links[-1]
-        high = low.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("above").alias("further"))
-        joined = low.join(high, low.tree.eqNullSafe(high.t) & (low.above == high.n))
-        links.append(stored(joined.select("tree", "node", F.col("further").alias("above")), "chat-links"))
-    parents = links[0].select(F.col("tree").alias("t"), F.col("above").alias("n")).distinct()
-    leaves = nodes.join(parents, _same(nodes, parents, {"tree": "t", "node": "n"}), "left_anti")
-    # Whoever still has an ancestor after as many links as there are messages goes in a circle.
-    circling = links[-1].select(F.col("tree").alias("t"), F.col("node").alias("n"))
-    leaves = leaves.join(circling, _same(leaves, circling, {"tree": "t", "node": "n"}), "left_anti")
-    found = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up"))
-    for k, reach in enumerate(links[:-1]):
-        reach = reach.select(F.col("tree").alias("t"), F.col("node").alias("n"), "above")
-        higher = found.join(reach, _same(found, reach, {"tree": "t", "node": "n"}))
-        higher = higher.select("tree", "leaf", F.col("above").alias("node"), (F.col("up") + 2**k).alias("up"))
-        found = stored(found.unionByName(higher), "chat-branches")
+    nodes = messages.select("tree", "node", "parent", "score")
+    known = _renamed(nodes.select("tree", "node"))
+    same_tree = F.col("tree").eqNullSafe(F.col("r_tree"))
+    first = nodes.join(known, same_tree & (F.col("parent") == F.col("r_node")), "left")
+    first = first.select("tree", "node", F.col("r_node").alias("above"), F.col("score").alias("total"), F.lit(1).cast("long").alias("steps"))
+    jumps, count = [stored(first, "chat-jumps")], messages.count()
+    while 2 ** (len(jumps) - 1) <= count and not jumps[-1].where("above is not null").isEmpty():
+        low = jumps[-1]
+        on_the_way = low.where("above is not null").join(_renamed(low), same_tree & (F.col("above") == F.col("r_node")))
+        further = on_the_way.select(
+            "tree", "node", F.col("r_above").alias("above"), (F.col("total") + F.col("r_total")).alias("total"), (F.col("steps") + F.col("r_steps")).alias("steps")
+        )
+        jumps.append(stored(low.where("above is null").unionByName(further), "chat-jumps"))
+    return jumps
+
+
+def branches(messages: DataFrame, best: int = 1) -> DataFrame:
+    """(tree, leaf, node, up): the messages of the ``best`` branches of every tree, ``up`` links above the leaf.
+
+    ``messages`` has tree, node (one row each), parent and score. A parent that is
+    null or not in the tree makes a root. Messages that lead into a circle are on
+    no branch. Branches are ranked by their mean score before any is enumerated.
+    """
+    with scratch_paths() as made:
+        jumps = _jumps(messages)
+        same_tree = F.col("tree").eqNullSafe(F.col("r_tree"))
+        parents = _renamed(jumps[0].where("above is not null").select("tree", "above").distinct())
+        ended = jumps[-1].where("above is null")
+        leaves = ended.join(parents, same_tree & (F.col("node") == F.col("r_above")), "left_anti")
+        place = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("steps")), "node"))
+        chosen = leaves.withColumn("place", place).where(F.col("place") <= best)
+        found = stored(chosen.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")), "chat-branches")
+        for k, jump in enumerate(jumps[:-1]):
+            reach = _renamed(jump.where("above is not null").select("tree", "node", "above"))
+            higher = found.join(reach, same_tree & (F.col("node") == F.col("r_node")))
+            higher = higher.select("tree", "leaf", F.col("r_above").alias("node"), (F.col("up") + 2**k).alias("up"))
+            found = stored(found.unionByName(higher), "chat-branches")
+    drop_scratch(messages.sparkSession, made[:-1])
     return found
 
 
@@ -91,14 +106,15 @@ def format_trees(messages: DataFrame, best: int = 1, trained_role: str = "assist
     fields = F.struct("parent", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
                       F.coalesce("score", F.lit(0.0)).alias("score"))
     single = messages.where("node is not null").groupBy("tree", "node").agg(F.min(fields).alias("m"))
-    single = stored(single.select("tree", "node", "m.*"), "chat-messages")
-    paths = branches(single)
-    scored = paths.join(single.withColumnsRenamed({"tree": "t", "node": "n"}), F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")))
-    means = scored.groupBy("tree", "leaf").agg(F.avg("score").alias("mean"))
-    place = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("mean"), "leaf"))
-    chosen = means.withColumn("place", place).where(F.col("place") <= best)
-    chosen = chosen.select(F.col("tree").alias("t2"), F.col("leaf").alias("l2"))
-    turns = scored.join(chosen, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("leaf") == F.col("l2")))
+    return _format(single.select("tree", "node", "m.*"), best, trained_role)
+
+
+def _format(messages: DataFrame, best: int, trained_role: str) -> DataFrame:
+    """``format_trees`` of messages with one row per tree and node and no null role, text or score."""
+    single = stored(messages, "chat-messages")
+    paths = _renamed(branches(single, best))
+    on = F.col("tree").eqNullSafe(F.col("r_tree")) & (F.col("node") == F.col("r_node"))
+    turns = single.join(paths, on).withColumnsRenamed({"r_leaf": "leaf", "r_up": "up"})
     head, body = F.concat(F.lit("<|"), escape_role(F.col("role")), F.lit(HEAD)), escape(F.col("text"))
     turns = turns.select("tree", "leaf", "up", "role", head.alias("head"), body.alias("body"))
     size = F.length("head") + F.length("body") + len(END)
@@ -130,16 +146,18 @@ def read_back(formatted: Column) -> Column:
 
 
 def conversation_messages(conversations: DataFrame) -> DataFrame:
-    """Rows of plain conversations as trees of one branch: each turn replies to the one before."""
+    """Rows of plain conversations as trees of one branch: each turn replies to the one before; null roles and texts are empty."""
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     node = F.row_number().over(order).cast("long")
-    rows = conversations.select(F.col("conv_id").alias("tree"), node.alias("node"), "role", "text")
-    return rows.select("tree", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
+    role, text = F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    rows = conversations.select("conv_id", "turn", role, text).withColumn("node", node)
+    parent = F.when(F.col("node") > 1, F.col("node") - 1).alias("parent")
+    return rows.select(F.col("conv_id").alias("tree"), "node", parent, "role", "text", F.lit(0.0).alias("score"))
 
 
 def digests(conversations: DataFrame) -> DataFrame:
     """What can be read back from every formatted conversation."""
-    done = format_trees(conversation_messages(conversations))
+    done = _format(conversation_messages(conversations), 1, "assistant")
     line = F.transform(read_back(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     masked = F.transform("loss", lambda s: unescape(F.substring(F.col("formatted"), s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))))
     read = done.select("tree", "formatted", line.alias("lines"), F.array_join(masked, "").alias("lost"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,3 +67,41 @@ def test_anything_reads_back(spark):
 def test_empty_table(spark):
     assert chat.digests(spark.createDataFrame([], TURNS)).count() == 0
     assert chat.format_trees(messages(spark, [(1, 1, None, "user", "q", 0.0)]).where(F.lit(False))).count() == 0
+
+
+def brute_branches(rows, best):
+    """(tree, leaf) and the messages from root to leaf of the best branches, by walking up from every leaf."""
+    parent = {(t, n): p for t, n, p, *_ in rows}
+    score = {(t, n): s for t, n, _, _, _, s in rows}
+    inner, ranked, out = {(t, p) for (t, _), p in parent.items()}, {}, {}
+    for t, n in parent:
+        way, at = [], n
+        while (t, at) in parent and at not in way:
+            way.append(at)
+            at = parent[t, at]
+        if (t, n) not in inner and at not in way:
+            ranked.setdefault(t, []).append((-sum(score[t, x] for x in way) / len(way), n, way[::-1]))
+    for t, all_ways in ranked.items():
+        out |= {(t, n): way for _, n, way in sorted(all_ways)[:best]}
+    return out
+
+
+@pytest.mark.parametrize("best", [1, 3])
+def test_random_trees_equal_plain_walks(spark, best):
+    rng = random.Random(3)
+    rows = [(t, n, rng.choice([None, 900, *range(n)]) if rng.random() < 0.9 else rng.randrange(60), "user", f"{n}\n", float(rng.randrange(4))) for t in range(6) for n in range(60)]
+    got = {(r.tree, r.leaf): [int(text) for _, text in turns] for r, turns in read_turns(spark, rows, best)}
+    assert got == brute_branches(rows, best)
+
+
+def read_turns(spark, rows, best):
+    done = chat.format_trees(messages(spark, rows), best).withColumn("turns", chat.read_back(F.col("formatted")))
+    return [(r, r.turns) for r in done.collect()]
+
+
+def test_a_stem_with_many_leaves_enumerates_the_chosen_branch_only(spark):
+    stem = [(1, i, i - 1 if i else None, "user", "stem", 0.0) for i in range(100)]
+    leaves = [(1, 100 + i, 99, "assistant", "leaf", float(i == 77)) for i in range(400)]
+    paths = chat.branches(messages(spark, stem + leaves))
+    assert paths.count() == 101
+    assert {r.leaf for r in paths.select("leaf").distinct().collect()} == {177}
