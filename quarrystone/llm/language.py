@@ -1,10 +1,10 @@
 """Language identification by hyperdimensional profiles.
 
-Every letter has a random vector of +1 and -1. The vectors of a trigram's letters
-are permuted by their place and bound by multiplication; the vectors of a text's
-trigrams are bundled by addition. A language's prototype bundles the trigrams of
-all its training texts, and a text gets the language of the nearest prototype by
-cosine.
+Every letter of any script has a vector of +1 and -1 of its own, from its code
+point. The vectors of a trigram's letters are permuted by their place and bound
+by multiplication; the vectors of a text's trigrams are bundled by addition. A
+language's prototype bundles the trigrams of all its training texts, and a text
+gets the language of the nearest prototype by cosine.
 """
 
 from __future__ import annotations
@@ -17,47 +17,91 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import Query, fold, schema, slices, table, whole_text
+from quarrystone.llm.common import Query, fold, mixed, schema, slices, table, whole_text
 
 DIMENSIONS = 512
 SEED = 20_011
 UNKNOWN = "und"
-# Letter classes: 0 is a word end, a to z have one each, all other letters share the rest by code point.
-CLASSES = 64
-GRAMS = CLASSES**3
+# A trigram is one number: three code points of 21 bits, 0 for a word end.
+POINT_BITS = 21
+# Distinct trigrams held at a time; they bound memory and change no result.
+TRAIN_GRAMS = 1 << 20
+KNOWN_GRAMS = 1 << 14
+BUNDLED_GRAMS = 1 << 12
 
 
 @functools.lru_cache(maxsize=1)
-def _letter_classes() -> np.ndarray:
-    """Class of every code point."""
-    out = np.zeros(0x110000, np.int32)
-    for point in range(0x110000):
-        if chr(point).isalpha():
-            out[point] = point - 96 if 97 <= point <= 122 else 27 + point % (CLASSES - 27)
-    return out
+def _letters() -> np.ndarray:
+    """Every code point that is a letter as itself, all others as 0."""
+    return np.array([p if chr(p).isalpha() else 0 for p in range(0x110000)], np.int64)
 
 
-@functools.lru_cache(maxsize=2)
-def _letter_vectors(dimensions: int) -> np.ndarray:
-    return np.random.default_rng(SEED).choice(np.array([-1, 1], np.int8), (CLASSES, dimensions))
+def letter_vectors(points: np.ndarray, dimensions: int) -> np.ndarray:
+    """A vector of +1 and -1 per code point, from bits seeded by the code point."""
+    parts = -(-dimensions // 64)
+    counters = points.astype(np.uint64)[:, None] * np.uint64(parts) + np.arange(parts, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        bits = mixed(mixed((counters + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) + np.uint64(SEED))
+    return np.unpackbits(bits.astype("<u8").view(np.uint8), axis=1)[:, :dimensions].astype(np.int8) * 2 - 1
 
 
 def gram_vectors(grams: np.ndarray, dimensions: int) -> np.ndarray:
-    """Bound vectors of trigrams given as numbers in base CLASSES."""
-    letters = _letter_vectors(dimensions)
-    first, second, third = grams // CLASSES**2, grams // CLASSES % CLASSES, grams % CLASSES
+    """Bound vectors of trigrams."""
+    low = (1 << POINT_BITS) - 1
+    points, at = np.unique(np.concatenate([grams >> 2 * POINT_BITS, grams >> POINT_BITS & low, grams & low]), return_inverse=True)
+    letters = letter_vectors(points, dimensions)
+    first, second, third = np.split(at, 3)
     return np.roll(letters, 2, 1)[first] * np.roll(letters, 1, 1)[second] * letters[third]
 
 
 def trigrams(text: str) -> np.ndarray:
     """All trigrams of the words of a text, with one word end on either side; empty without letters."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    classes = np.concatenate([[0], _letter_classes()[points], [0]]).astype(np.int32)
-    classes = classes[np.concatenate([[True], (classes[1:] != 0) | (classes[:-1] != 0)])]
-    if len(classes) < 3:
-        return np.zeros(0, np.int32)
-    grams = (classes[:-2] * CLASSES + classes[1:-1]) * CLASSES + classes[2:]
-    return grams[classes[1:-1] != 0]
+    letters = np.concatenate([[0], _letters()[points], [0]])
+    letters = letters[np.concatenate([[True], (letters[1:] != 0) | (letters[:-1] != 0)])]
+    if len(letters) < 3:
+        return np.zeros(0, np.int64)
+    grams = (letters[:-2] << 2 * POINT_BITS) | (letters[1:-1] << POINT_BITS) | letters[2:]
+    return grams[letters[1:-1] != 0]
+
+
+class Bundler:
+    """Bundles counted trigrams; vectors of the last ``KNOWN_GRAMS`` or fewer distinct ones are kept."""
+
+    def __init__(self, dimensions: int):
+        self.dimensions = dimensions
+        self._forget()
+
+    def _forget(self) -> None:
+        self.grams, self.places = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.vectors = np.zeros((KNOWN_GRAMS, self.dimensions), np.float32)
+
+    def _vectors(self, grams: np.ndarray) -> np.ndarray:
+        if len(grams) > KNOWN_GRAMS:
+            return gram_vectors(grams, self.dimensions).astype(np.float32)
+        at = np.searchsorted(self.grams, grams)
+        known = np.zeros(len(grams), bool)
+        inside = at < len(self.grams)
+        known[inside] = self.grams[at[inside]] == grams[inside]
+        new = grams[~known]
+        if len(self.grams) + len(new) > KNOWN_GRAMS:
+            self._forget()
+            return self._vectors(grams)
+        if len(new):
+            held = len(self.grams)
+            self.vectors[held : held + len(new)] = gram_vectors(new, self.dimensions)
+            where = np.searchsorted(self.grams, new)
+            self.grams = np.insert(self.grams, where, new)
+            self.places = np.insert(self.places, where, np.arange(held, held + len(new)))
+            at = np.searchsorted(self.grams, grams)
+        return self.vectors[self.places[at]]
+
+    def __call__(self, grams: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Sum of the vectors of distinct ordered trigrams, each ``n`` times."""
+        total = np.zeros(self.dimensions, np.float64)
+        for i in range(0, len(grams), BUNDLED_GRAMS):
+            total += n[i : i + BUNDLED_GRAMS].astype(np.float32) @ self._vectors(grams[i : i + BUNDLED_GRAMS])
+        return total
 
 
 def _counts(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,6 +111,12 @@ def _counts(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[at], np.diff(np.append(at, len(ordered)))
 
 
+def _added(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the distinct values of both."""
+    grams, at = np.unique(np.concatenate([one[0], other[0]]), return_inverse=True)
+    return grams, np.bincount(at, np.concatenate([one[1], other[1]]), len(grams)).astype(np.int64)
+
+
 def train(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     """Prototypes (lang, vector) from all rows with a language and a letter.
 
@@ -76,23 +126,22 @@ def train(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     texts = docs.where("lang is not null").select("lang", whole_text().alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, np.ndarray] = {}
+        totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in slices(batches, "text"):
             found: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
                 found.setdefault(lang, []).append(trigrams(text.as_py()))
             for lang, parts in found.items():
-                totals[lang] = totals.get(lang, 0) + np.bincount(np.concatenate(parts), minlength=GRAMS)
-            if len(totals) > 32:
+                counts = _counts(np.concatenate(parts))
+                totals[lang] = _added(totals[lang], counts) if lang in totals else counts
+            if sum(len(grams) for grams, _ in totals.values()) > TRAIN_GRAMS:
                 yield from map(counted, totals, totals.values())
                 totals.clear()
         yield from map(counted, totals, totals.values())
 
-    def counted(lang: str, totals: np.ndarray) -> pa.RecordBatch:
-        seen = np.flatnonzero(totals)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(seen), pa.string()), pa.array(seen), pa.array(totals[seen])], names=["lang", "gram", "n"]
-        )
+    def counted(lang: str, totals: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        grams, n = totals
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(n)], names=["lang", "gram", "n"])
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -128,7 +177,7 @@ def predict(docs: DataFrame, prototypes: list[tuple[str, list[float]]], id_colum
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         directions = (matrix / np.maximum(np.linalg.norm(matrix, axis=-1, keepdims=True), 1e-12)).astype(np.float32)
-        place, vectors = np.full(GRAMS, -1, np.int32), np.zeros((0, dimensions), np.float32)
+        bundled = Bundler(dimensions)
         for batch in slices(batches, "text"):
             langs, scores = [], []
             for value in batch.column("text"):
@@ -137,12 +186,8 @@ def predict(docs: DataFrame, prototypes: list[tuple[str, list[float]]], id_colum
                     langs.append(UNKNOWN)
                     scores.append(0.0)
                     continue
-                new = grams[place[grams] < 0]
-                if len(new):
-                    place[new] = np.arange(len(vectors), len(vectors) + len(new))
-                    vectors = np.concatenate([vectors, gram_vectors(new, dimensions).astype(np.float32)])
-                bundled = n.astype(np.float32) @ vectors[place[grams]]
-                cosines = directions @ bundled / max(float(np.linalg.norm(bundled)), 1e-12)
+                vector = bundled(grams, n)
+                cosines = directions @ vector / max(float(np.linalg.norm(vector)), 1e-12)
                 best = int(np.argmax(cosines))
                 langs.append(names[best])
                 scores.append(float(np.clip(cosines[best], 0, 1)))

@@ -42,3 +42,33 @@ def test_odd_rows_no_languages_and_empty_table(odd):
     rows = language.identify(odd).collect()
     assert len(rows) == odd.count() and all(r.lang_pred == "und" for r in rows)
     assert language.identify(odd.where(F.lit(False))).count() == 0
+
+
+def test_letters_beyond_the_latin_ones_have_vectors_of_their_own(documents):
+    vectors = language.letter_vectors(np.arange(0xDF, 0x180), 512).astype(int)
+    cosines = vectors @ vectors.T / 512 - np.eye(len(vectors))
+    assert abs(cosines).max() < 0.3
+    pairs = [("sä mäk täl", "sœ mœk tœl"), ("мир дом", "рим мод"), ("山水 火", "木水 火")]
+    for one, other in pairs:
+        docs = documents([(i, t, lang) for i, (t, lang) in enumerate([(one, "x"), (other, "y")] * 3)])
+        prototypes = [(r.lang, list(r.vector)) for r in language.train(docs).collect()]
+        found = language.predict(documents([one, other]), prototypes).orderBy("doc_id").collect()
+        assert [r.lang_pred for r in found] == ["x", "y"] and min(r.score for r in found) > 0.99
+
+
+def test_few_kept_vectors_change_no_bundle(monkeypatch):
+    texts = ["der hund und die katze", "le chat et le chien", "火山", "aaa", "der hund"] * 3
+    for known, part in [(4, 3), (16, 64), (1 << 14, 1 << 12)]:
+        monkeypatch.setattr(language, "KNOWN_GRAMS", known)
+        monkeypatch.setattr(language, "BUNDLED_GRAMS", part)
+        bundled = language.Bundler(64)
+        for text in texts:
+            grams = language.trigrams(text)
+            assert (bundled(*language._counts(grams)) == language.gram_vectors(grams, 64).astype(int).sum(axis=0)).all()
+
+
+def test_counts_handed_on_early_change_no_prototype(documents, monkeypatch):
+    docs = documents([(i, t, lang) for i, (t, lang) in enumerate([("aba abab", "x"), ("cdc dcdc", "y"), ("äöü", "z")] * 3)])
+    whole = {r.lang: r.vector for r in language.train(docs).collect()}
+    monkeypatch.setattr(language, "TRAIN_GRAMS", 1)
+    assert {r.lang: r.vector for r in language.train(docs).collect()} == whole
