@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as registered
@@ -34,3 +39,19 @@ def test_results_agree(spark, other_engine, name):
 
 def test_flagship_has_rows(spark):
     assert registered.entry(spark).limit(1).count() == 1
+
+
+ELSEWHERE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+import __spark_entry__
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+assert __spark_entry__.queries()["land_csv"](spark, sys.argv[2]).count() > 0
+"""
+
+
+def test_python_workers_find_the_package_from_any_folder(tmp_path):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    command = [sys.executable, "-c", ELSEWHERE, str(Path(registered.__file__).parent), SF]
+    subprocess.run(command, cwd=tmp_path, env=env, check=True, capture_output=True)
