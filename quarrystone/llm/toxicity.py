@@ -4,8 +4,10 @@ One zstandard dictionary is made of words of ordinary texts; the other holds the
 same and, nearest to what is compressed, the words that toxic texts hold clearly
 more often. A window (one word, or 64 characters of a longer one) is compressed
 with either dictionary, and the difference of the lengths is what toxic wording
-saves. What each size of the difference weighs in the score is calibrated on
-labelled documents that took no part in the dictionaries.
+saves. Small differences also come about by chance, in some languages more than
+in others, so what a text saves beyond a threshold per window is weighed against
+the number of its windows that stay below. The threshold and the weights are
+calibrated on labelled documents that took no part in the dictionaries.
 """
 
 from __future__ import annotations
@@ -23,18 +25,21 @@ from quarrystone.llm.common import Query, fold, schema, slices, stored, table, w
 # The classifier is fitted on at most so many labelled documents of either class, first by a hash of the id.
 SAMPLE = 6_000
 DICTIONARY_BYTES = 8_192
+# The ordinary part is larger: parts of toxic words that ordinary words also have must be found there as well.
+ORDINARY_BYTES = 32_768
 LEAST_DOCUMENTS = 3
 # Twice the log likelihood ratio from which a word's lean to toxic texts isn't put down to chance.
 LEAST_EVIDENCE = 16.0
 # ... and its share of the strongest word's: below are words of passages that several toxic texts repeat.
-EVIDENCE_SHARE = 0.06
+EVIDENCE_SHARE = 0.03
 WINDOW = 64
 THRESHOLD = 0.3
-LEVEL = 3
+LEVEL = 9
 TABLE_BITS = 17
 # Every window stands between these: very short input is stored as it is, and no match begins in its last bytes.
 HEAD, TAIL = " window window ", " qzx qzx qzx"
-DIFFERENCES = (1, 2, 3, 4)
+# Thresholds in bytes that the calibration chooses from.
+THRESHOLDS = (0, 1, 2, 3, 4)
 
 
 @dataclass(frozen=True)
@@ -44,9 +49,14 @@ class Model:
     ordinary: bytes
     toxic: bytes
     weights: tuple[float, ...]
+    least: int = 0
 
-    def score(self, features: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(features @ np.array(self.weights), -30, 30)))
+    def score(self, savings: np.ndarray) -> np.ndarray:
+        return _probability(features(savings, self.least), np.array(self.weights))
+
+
+def _probability(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
 
 
 def pieces(text: str) -> set[str]:
@@ -88,21 +98,21 @@ class Windows:
             known = self._known[window] = len(self._either[0](data)) - len(self._either[1](data))
         return known
 
-    def counts(self, text: str) -> list[int]:
-        """Distinct windows by difference, for each of DIFFERENCES, then the number of distinct windows."""
-        windows, out = pieces(text), [0] * (len(DIFFERENCES) + 1)
-        out[-1] = len(windows)
-        for window in windows:
+    def savings(self, text: str) -> list[int]:
+        """Bytes saved beyond t in each distinct window, added up, for t from 0 to the largest of THRESHOLDS plus 2."""
+        out = [0] * (THRESHOLDS[-1] + 3)
+        for window in pieces(text):
             d = self(window)
-            if d > 0:
-                out[min(d, len(DIFFERENCES)) - 1] += 1
+            for t in range(min(d, len(out))):
+                out[t] += d - t
         return out
 
 
-def features(counts: np.ndarray) -> np.ndarray:
-    """Per document: constant, windows by difference (log), and the share of windows with a clear one."""
-    share = counts[:, 2:-1].sum(axis=1) / np.maximum(counts[:, -1], 1)
-    return np.column_stack([np.ones(len(counts)), np.log1p(counts[:, :-1]), np.minimum(share, 0.1) * 10])
+def features(savings: np.ndarray, least: int) -> np.ndarray:
+    """Per document: constant, what its windows save beyond ``least`` bytes and beyond two more, and how many save less."""
+    above = savings[:, :-1] - savings[:, 1:]  # windows that save more than t
+    below = above[:, 0] - above[:, max(least, 1)]
+    return np.column_stack([np.ones(len(savings)), *np.log1p([savings[:, least], savings[:, least + 2], below])])
 
 
 def sample(labels: DataFrame, bound: int = SAMPLE) -> DataFrame:
@@ -151,16 +161,15 @@ def _dictionaries(counted: DataFrame, in_toxic: Column, in_ordinary: Column, n1:
     strongest = counted.where(lean).agg(F.max(evidence)).first()[0] or 0.0
     clear = lean & (evidence >= max(LEAST_EVIDENCE, EVIDENCE_SHARE * strongest))
 
-    def content(rows: DataFrame, rank: Column) -> str:
+    def content(rows: DataFrame, rank: Column, size: int) -> str:
         """The first words by rank that fit, the most telling last, where matches are nearest."""
-        best = [r.word for r in rows.orderBy(rank.desc(), "word").limit(DICTIONARY_BYTES // 8).select("word").collect()]
-        while len(" ".join(best).encode("utf-8", "surrogatepass")) > DICTIONARY_BYTES:
-            best = best[: len(best) * 9 // 10]
-        return " ".join(reversed(best))
+        best = [r.word for r in rows.orderBy(rank.desc(), "word").limit(size // 2).select("word").collect()]
+        ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in best])
+        return " ".join(reversed(best[: int(np.searchsorted(ends, size, side="right"))]))
 
     # The line feed keeps the head from matching on into the first word.
-    ordinary = HEAD * 2 + "\n" + content(counted.where((in_ordinary > 0) & (p1 <= 4 * p0)), p0) + " "
-    toxic = content(counted.where(clear), p1 * F.log(p1 / p0))
+    ordinary = HEAD * 2 + "\n" + content(counted.where((in_ordinary > 0) & (p1 <= 4 * p0)), p0, ORDINARY_BYTES) + " "
+    toxic = content(counted.where(clear), p1 * F.log(p1 / p0), DICTIONARY_BYTES)
     # Forwards and back, so that an entry overwritten in the match tables has a second chance.
     toxic = " ".join([*reversed(toxic.split(" ")), toxic]) + " "
     return (ordinary + HEAD).encode("utf-8", "surrogatepass"), (ordinary + toxic + HEAD).encode("utf-8", "surrogatepass")
@@ -191,20 +200,31 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
         .where("n00 + n01 + n10 + n11 >= 2"),
         "toxicity-words",
     )
-    counts, marks = [], []
+    savings, marks = [], []
     for half in (0, 1):
         ordinary, toxic = _dictionaries(counted, F.col(f"n1{half}"), F.col(f"n0{half}"), sizes[1, half], sizes[0, half])
         other = texts.where(F.col("half") != half).select("text", "toxic")
-        for r in other.mapInArrow(_counter(ordinary, toxic, "toxic"), "toxic int, counts array<int>").collect():
-            counts.append(r.counts)
+        for r in other.mapInArrow(_counter(ordinary, toxic, "toxic"), "toxic int, savings array<long>").collect():
+            savings.append(r.savings)
             marks.append(r.toxic)
-    x, y = np.array(counts, float), np.array(marks, float)
+    x, y = np.array(savings, float), np.array(marks, float)
     # The sample holds the classes in other shares than the labels do.
     weigh = np.where(y == 1, totals[1] / y.sum(), totals[0] / (1 - y).sum())
-    weights = _logistic(features(x), y, weigh / weigh.mean())
+    least, weights = _calibrated(x, y, weigh / weigh.mean())
     both = lambda c: F.col(f"n{c}0") + F.col(f"n{c}1")
     ordinary, toxic = _dictionaries(counted, both(1), both(0), sizes[1, 0] + sizes[1, 1], sizes[0, 0] + sizes[0, 1])
-    return Model(ordinary, toxic, tuple(weights))
+    return Model(ordinary, toxic, tuple(weights), least)
+
+
+def _calibrated(savings: np.ndarray, y: np.ndarray, weigh: np.ndarray) -> tuple[int, list[float]]:
+    """The threshold per window under which the labels are likeliest, the smaller of equal ones, and its weights."""
+    fits = []
+    for least in THRESHOLDS:
+        x = features(savings, least)
+        weights = _logistic(x, y, weigh)
+        p = _probability(x, np.array(weights))
+        fits.append((-float(weigh @ np.log(np.where(y == 1, p, 1 - p))), least, weights))
+    return min(fits)[1:]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weigh: np.ndarray) -> list[float]:
@@ -219,14 +239,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, weigh: np.ndarray) -> list[float]:
 
 
 def _counter(ordinary: bytes, toxic: bytes, kept: str):
-    """(text, kept) to (kept, counts)."""
+    """(text, kept) to (kept, savings)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(ordinary, toxic)
         for batch in slices(batches, "text"):
-            counts = [windows.counts(t.as_py()) for t in batch.column("text")]
+            savings = [windows.savings(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(kept), pa.array(counts, pa.list_(pa.int32()))], names=[kept, "counts"]
+                [batch.column(kept), pa.array(savings, pa.list_(pa.int64()))], names=[kept, "savings"]
             )
 
     return run
@@ -242,8 +262,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             if windows is None:
                 scores = np.zeros(batch.num_rows)
             else:
-                counts = np.array([windows.counts(t.as_py() or "") for t in batch.column(at)], float)
-                scores = model.score(features(counts.reshape(batch.num_rows, -1)))
+                savings = np.array([windows.savings(t.as_py() or "") for t in batch.column(at)], float)
+                scores = model.score(savings.reshape(batch.num_rows, -1))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*names, "toxicity"])
 
     return docs.mapInArrow(run, schema(docs, names, "toxicity double"))

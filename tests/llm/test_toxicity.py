@@ -38,8 +38,8 @@ def test_a_toxic_word_is_shorter_with_the_toxic_dictionary():
     toxic = toxicity.HEAD * 2 + "some plain words of every day worthless disgusting " + toxicity.HEAD
     windows = toxicity.Windows(ordinary.encode(), toxic.encode())
     assert windows("disgusting") >= 3 and windows("unrelated") == 0
-    counts = windows.counts("disgusting " + "plain " * 10 + "y" * 1_000)
-    assert counts[-1] == 5 and sum(counts[:-1]) == 1
+    d = windows("disgusting")
+    assert windows.savings("disgusting " + "plain " * 10 + "y" * 1_000) == [max(0, d - t) for t in range(7)]
 
 
 def test_odd_rows_and_missing_labels(spark, odd, documents):
@@ -76,12 +76,36 @@ def test_scores_match_plain_compression_of_every_window(spark, documents):
         for word in text.split():
             windows |= {word} if len(word) <= 64 else {word[a : a + 64] for a in range(0, len(word), 32)}
         gains = [compressed(model.ordinary, w) - compressed(model.toxic, w) for w in windows]
-        by_size = [sum(g == d for g in gains) for d in (1, 2, 3)] + [sum(g >= 4 for g in gains)]
-        share = min(0.1, sum(by_size[2:]) / max(1, len(windows))) * 10
-        x = np.array([1, *np.log1p(by_size), share]) @ np.array(model.weights)
+        least = model.least
+        saved = [sum(max(0, g - t) for g in gains) for t in (least, least + 2)]
+        below = sum(0 < g <= max(least, 1) for g in gains)
+        x = np.array([1, *np.log1p([*saved, below])]) @ np.array(model.weights)
         assert abs(scored[i] - 1 / (1 + np.exp(-x))) < 1e-9
 
 
 def test_parts_of_long_words_teach(documents):
     text = "a" * 40 + "b" * 40 + " short"
     assert toxicity.pieces(text) == {"a" * 40 + "b" * 24, "a" * 8 + "b" * 40, "b" * 16, "short"}
+
+
+def test_chance_matches_in_another_language_are_no_toxic_wording(spark, documents):
+    """Texts whose ordinary words share parts with toxic ones stay clean; toxic ones are found in either language."""
+    rng = random.Random(7)
+    ends = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
+    rows, marks, kinds = [], [], []
+    for i in range(1_200):
+        toxic, other = int(i % 4 == 0), i % 2 == 1 or i % 8 == 0
+        stems = ["unacht", "einacht"] if other else ["plain", "green", "table"]
+        words = [rng.choice(stems) + rng.choice(ends) + rng.choice(ends) for _ in range(60)]
+        bad = ["achtlich" + rng.choice(ends) for _ in range(4)] if other else rng.sample(BAD, 3)
+        for w in bad * toxic:
+            words.insert(rng.randrange(len(words)), w)
+        rows.append((i, " ".join(words)))
+        marks.append((i, 1, toxic))
+        kinds.append(other)
+    got = [r for r in toxicity.classify(documents(rows), spark.createDataFrame(marks, LABELS)).collect() if r.held_out]
+    for other in (False, True):
+        held = [r for r in got if kinds[r.doc_id] == other]
+        found = [r.predicted for r in held if marks[r.doc_id][2]]
+        flagged = [r.predicted for r in held if not marks[r.doc_id][2]]
+        assert sum(found) >= 0.9 * len(found) > 20 and sum(flagged) <= 0.05 * len(flagged)
