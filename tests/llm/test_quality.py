@@ -68,3 +68,27 @@ def test_odd_rows_and_empty_table(odd):
 def test_plan_has_no_python_and_no_shuffle(odd):
     plan = quality.measures(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Exchange", plan)
+
+
+def test_a_rule_is_not_evaluated_after_a_rejection(documents):
+    docs = quality.measures(documents(["short text", " ".join(f"w{i}" for i in range(90))]))
+    fails = quality.Rule("fails", "raise_error(concat('seen: ', text)) is null")
+    last = [quality.Rule("short", "n_words < 50"), quality.Rule("long", "n_words >= 50"), fails]
+    assert {r.name for r in docs.select(quality.rejected_by(last).alias("name")).collect()} == {"short", "long"}
+    with pytest.raises(Exception, match="seen: short text"):
+        docs.where("n_words < 50").select(quality.rejected_by(last[::-1])).collect()
+
+
+def test_of_rules_that_reject_the_same_the_cheaper_comes_first(documents):
+    docs = documents([" ".join(f"w{i * j}" for i in range(8_000)) for j in range(200)])
+    slow = quality.Rule("slow", "length(regexp_replace(text, '[^0-9]+', '')) >= 0 and doc_id % 2 = 0")
+    rules = (slow, quality.Rule("fast", "doc_id % 2 = 0"))
+    assert {tuple(r.name for r in quality.order_rules(docs, rules)) for _ in range(3)} == {("fast", "slow")}
+
+
+def test_line_rules(documents):
+    body = " ".join(f"word{i}" for i in range(60))
+    texts = [body + "\n- a\n\t* b", "\n".join(f"• {body} {i}" for i in range(4)), "\n".join(f"{body} {i}... " for i in range(3)), body + "…\n" + body]
+    rules = [r for r in quality.RULES if r.name in ("bullets", "ellipses")]
+    rows = quality.measures(documents(texts)).select("doc_id", quality.rejected_by(rules).alias("name")).collect()
+    assert {r.doc_id: r.name for r in rows} == {0: None, 1: "bullets", 2: "ellipses", 3: "ellipses"}
