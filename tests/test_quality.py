@@ -184,3 +184,40 @@ def test_a_check_that_fails_at_run_time_splits_only_its_own_model(spark):
     tables = {"good": good, "bad": spark.createDataFrame([("12.5",)], "x string")}
     contracts = [Contract("good", "x", "not_null"), Contract("bad", None, "expression", args={"condition": "int(x) > 0"}), Contract("bad", "x", "not_null")]
     assert [(r.passed, r.failing_rows) for r in run_suite(spark, tables, contracts)] == [(True, 0), (False, -1), (True, 0)]
+
+
+def test_row_checks_are_counted_in_generated_code_and_sampled_beside(spark):
+    from quarrystone.quality.suite import _counted
+
+    tables = {"t": spark.createDataFrame([(3, "b"), (-1, "z"), (-1, "a"), (None, "c")], "x int, y string")}
+    contracts = [_c("x", "non_negative"), _c("x", "not_null"), _c("y", "accepted_values", values=["a", "b", "c", "z"])]
+    assert "SortAggregate" not in _counted(spark, tables, contracts)._jdf.queryExecution().executedPlan().toString()
+    results = run_suite(spark, tables, contracts)
+    assert [r.failing_rows for r in results] == [2, 1, 0]
+    assert [r.detail for r in results] == ['for example {"x":-1,"y":"a"}', 'for example {"y":"c"}', ""]
+    assert not any(r.detail for r in run_suite(spark, tables, contracts, with_detail=False))
+
+
+def test_a_key_and_its_foreign_keys_share_one_shuffle(spark):
+    from quarrystone.quality.suite import _counted
+
+    tables = {
+        "p": spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "id string"),
+        "t": spark.createDataFrame([("a", 1), ("zz", 7), ("zz", 1), (None, 1), ("y", None)], "k string, m int"),
+        "u": spark.createDataFrame([("b",), ("zz",)], "k string"),
+        "q": spark.createDataFrame([(1,), (2,)], "id long"),
+    }
+    refers = {"to": "p", "field": "id"}
+    contracts = [
+        Contract("p", "id", "unique"),
+        Contract("t", "k", "relationships", args=refers),
+        Contract("u", "k", "relationships", args=refers),
+    ]
+    plan = _counted(spark, tables, contracts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    results = run_suite(spark, tables, contracts)
+    assert [r.failing_rows for r in results] == [1, 3, 1]
+    assert [r.detail for r in results] == [f"for example {s}" for s in ('{"id":"a","n":2}', '{"k":"y","n":1}', '{"k":"zz","n":1}')]
+    # A child of another type is joined, as types are then compared the way Spark does.
+    mixed = [Contract("q", "id", "unique"), Contract("t", "m", "relationships", args={"to": "q", "field": "id"})]
+    assert [(r.failing_rows, r.detail) for r in run_suite(spark, tables, mixed)] == [(0, ""), (1, 'for example {"m":7,"n":1}')]
