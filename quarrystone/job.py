@@ -56,12 +56,13 @@ def land_raw(
 
 def _materialize(model: Model, tables: Mapping[str, DataFrame], folder: str) -> tuple[DataFrame, dict]:
     started = time.monotonic()
-    df = model.build(*[tables[i] for i in model.inputs])
+    build, finish = model.halves or (model.build, None)
+    df = build(*[tables[i] for i in model.inputs])
     if model.materialized == "view":
         stored = materialize_view(df, model.name)
         rows = df.count()
     else:
-        stored, rows = materialize_table(df, model.name, f"{folder}/models/{model.name}", model.partition_by)
+        stored, rows = materialize_table(df, model.name, f"{folder}/models/{model.name}", model.partition_by, finish)
     record = {"name": model.name, "layer": model.layer, "materialized": model.materialized, "rows": rows}
     return stored, record | {"duration_s": round(time.monotonic() - started, 3)}
 

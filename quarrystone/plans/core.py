@@ -140,26 +140,40 @@ def fct_orders(stg_orders: DataFrame, stg_order_lines: DataFrame, dim_customer:
     )
 
 
-def fct_order_lines(stg_order_lines: DataFrame, stg_orders: DataFrame, dim_product: DataFrame) -> DataFrame:
+def joined_lines(stg_order_lines: DataFrame, stg_orders: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Lines with their order and product, without what ``priced_lines`` computes from a row's own columns."""
     lines = stg_order_lines.alias("l")
     orders = stg_orders.select("order_id", "customer_id", "order_date", "order_month", "channel", "status").alias("o")
     products = dim_product.select("product_id", "category", "margin_band", "price_band", "cost_price").alias("p")
-    # Without a catalogue entry the cost is zero and profit equals net.
-    cost = F.col("l.quantity") * F.coalesce(F.col("p.cost_price"), F.lit(0.0))
     return (
         lines.join(orders, F.col("o.order_id") == F.col("l.order_id"))
         .join(products, F.col("p.product_id") == F.col("l.product_id"), "left")
         .select(
-            F.concat(F.col("l.order_id"), F.lit("-"), F.col("l.line_number").cast("string")).alias("order_line_key"),
             *[F.col(f"l.{c}") for c in ("order_id", "line_number", "product_id")],
             *[F.col(f"o.{c}") for c in ("customer_id", "order_date", "order_month", "channel", "status")],
-            *[F.col(f"p.{c}") for c in ("category", "margin_band", "price_band")],
+            *[F.col(f"p.{c}") for c in ("category", "margin_band", "price_band", "cost_price")],
             *[
                 F.col(f"l.{c}")
                 for c in ("quantity", "unit_price", "discount_pct", "gross_amount", "discount_amount", "net_amount")
             ],
-            round2(cost).alias("cost_amount"),
-            round2(F.col("l.net_amount") - cost).alias("gross_profit"),
             F.col("l.is_return"),
         )
     )
+
+
+def priced_lines(joined: DataFrame) -> DataFrame:
+    """The line fact from its joined rows: key, cost and profit follow from the row."""
+    # Without a catalogue entry the cost is zero and profit equals net.
+    cost = F.col("quantity") * F.coalesce(F.col("cost_price"), F.lit(0.0))
+    kept = [c for c in joined.columns if c not in ("cost_price", "is_return")]
+    return joined.select(
+        F.concat(F.col("order_id"), F.lit("-"), F.col("line_number").cast("string")).alias("order_line_key"),
+        *kept,
+        round2(cost).alias("cost_amount"),
+        round2(F.col("net_amount") - cost).alias("gross_profit"),
+        "is_return",
+    )
+
+
+def fct_order_lines(stg_order_lines: DataFrame, stg_orders: DataFrame, dim_product: DataFrame) -> DataFrame:
+    return priced_lines(joined_lines(stg_order_lines, stg_orders, dim_product))

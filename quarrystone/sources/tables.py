@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+# Of stored tables; at 6 times sf0.1 a run's tables took 190 MB, 273 MB with Spark's default.
+CODEC = "zstd"
+
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> int:
+def write_table(
+    df: DataFrame, path: str, partition_by: str | None = None, finish: Callable[[DataFrame], DataFrame] | None = None
+) -> int:
     """Replace a Parquet table and return its row count, taken while writing.
 
     For a partitioned table the rebalance step brings each partition's rows
     together in files of the advisory size and splits a partition that is far
-    larger than the rest over several tasks.
+    larger than the rest over several tasks. ``finish`` computes columns from
+    others of the same row after that, so that they aren't shuffled.
     """
     seen = Observation("rows written")
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
-        counted.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
-    else:
-        counted.write.mode("overwrite").parquet(path)
+    together = counted.hint("rebalance", partition_by) if partition_by else counted
+    writer = (finish(together) if finish else together).write.mode("overwrite").option("compression", CODEC)
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return int(seen.get["rows"])
 
 
@@ -28,10 +35,16 @@ def read_table(spark: SparkSession, path: str, like: DataFrame | None = None) ->
     return spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
-def materialize_table(df: DataFrame, name: str, path: str, partition_by: str | None = None) -> tuple[DataFrame, int]:
+def materialize_table(
+    df: DataFrame,
+    name: str,
+    path: str,
+    partition_by: str | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[DataFrame, int]:
     """Full refresh of a table: write it, and offer the written rows to SQL under its name."""
-    rows = write_table(df, path, partition_by)
-    stored = read_table(df.sparkSession, path, like=df)
+    rows = write_table(df, path, partition_by, finish)
+    stored = read_table(df.sparkSession, path, like=finish(df) if finish else df)
     stored.createOrReplaceTempView(name)
     return stored, rows
 

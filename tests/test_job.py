@@ -109,3 +109,35 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 def test_command_line_needs_its_roots():
     with pytest.raises(SystemExit):
         main([])
+
+
+def test_only_columns_that_others_do_not_give_are_brought_together_for_the_line_fact(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from quarrystone.plans import core
+    from quarrystone.plans.registry import MODELS
+    from quarrystone.sources.tables import materialize_table
+
+    lines = spark.sql(
+        """SELECT concat('O', id % 4) AS order_id, int(id) AS line_number, concat('P', id % 3) AS product_id, int(id) - 5 AS quantity,
+        1.25D AS unit_price, 0.0D AS discount_pct, 2.5D AS gross_amount, 0.0D AS discount_amount, 2.5D AS net_amount, 0 AS is_return
+        FROM range(40)"""
+    )
+    orders = spark.sql(
+        """SELECT concat('O', id) AS order_id, 'C' AS customer_id, '2024-01-05' AS order_date, concat('2024-0', id) AS order_month,
+        'web' AS channel, 'completed' AS status FROM range(1, 4)"""
+    )
+    products = spark.sql(
+        "SELECT concat('P', id) AS product_id, 'tea' AS category, 'low' AS margin_band, 'mid' AS price_band, 0.7D AS cost_price FROM range(2)"
+    )
+    model = next(m for m in MODELS if m.name == "fct_order_lines")
+    build, finish = model.halves
+    joined = build(lines, orders, products)
+    assert not {"order_line_key", "cost_amount", "gross_profit"} & set(joined.columns)
+    stored, rows = materialize_table(joined, "line_fact", str(tmp_path / "t"), model.partition_by, finish)
+    whole = core.fct_order_lines(lines, orders, products)
+    assert (rows, stored.columns, stored.dtypes) == (30, whole.columns, whole.dtypes)
+    assert sorted(map(tuple, stored.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    assert stored.where(F.col("product_id") == "P2").agg(F.max("cost_amount")).first()[0] == 0
+    # Stored tables are compressed with zstd.
+    assert list((tmp_path / "t").rglob("*.zstd.parquet"))
