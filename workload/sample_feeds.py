@@ -45,6 +45,21 @@ def _cents_text(value: Column) -> Column:
     return F.concat(_text(F.floor(value / F.lit(100))), F.lit("."), F.lpad(_text(value % 100), 2, "0"))
 
 
+def _rounded_text(value: Column, places: int, most: int, otherwise: Column, factor: int = 1) -> Column:
+    """Text of a double at some decimal places, after division of the rounded value by ``factor``, ties up.
+
+    Decimals made from doubles go through text and are slow. Whole numbers give the same digits, unless the value is
+    negative, large or so near a tie that the error of the product could matter; then it is ``otherwise``.
+    """
+    scale = 10**places
+    scaled = value * F.lit(float(scale))
+    near = F.rint(scaled)
+    sure = (value >= 0) & (value < most) & (F.abs(scaled - near) < F.lit(0.49))
+    whole = near.cast("long") if factor == 1 else F.floor((near.cast("long") + factor // 2) / F.lit(factor))
+    digits = F.lpad(_text(whole % scale), places, "0")
+    return F.when(sure, F.concat(_text(F.floor(whole / F.lit(scale))), F.lit("."), digits)).otherwise(otherwise)
+
+
 def _pick(selector: Column, values: tuple[str, ...]) -> Column:
     """The value at a zero-based position."""
     return F.get(F.array(*[F.lit(v) for v in values]), selector.cast("int"))
@@ -108,15 +123,18 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     order, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     sign = F.when((F.col("l_returnflag") == "R") & (line % 3 == 0), F.lit(-1)).otherwise(F.lit(1))
-    price = F.col("l_extendedprice").cast("decimal(12,2)") * F.lit("0.0002").cast("decimal(6,4)")
+    full, discount = F.col("l_extendedprice"), F.col("l_discount")
+    price = full.cast("decimal(12,2)") * F.lit("0.0002").cast("decimal(6,4)")
     return _with_replays(_table(spark, sf_dir, "lineitem"), "l_orderkey").select(
         F.concat(F.lit(" "), _text(order), F.lit(" ")).alias("order_id"),
         _text(line).alias("line_number"),
         # One product in 211 is missing from the catalogue.
         F.when(part % 211 == 0, F.concat(F.lit("N"), _text(part))).otherwise(_text(part)).alias("product_id"),
         _text(sign * (F.col("l_quantity").cast("int") % 6 + 1)).alias("quantity"),
-        _text(price.cast("decimal(12,2)")).alias("unit_price"),
-        F.when(order % 50 == 0, "").otherwise(_text(F.col("l_discount").cast("decimal(6,4)"))).alias("discount_pct"),
+        _rounded_text(full, 2, 10**9, _text(price.cast("decimal(12,2)")), factor=5000).alias("unit_price"),
+        F.when(order % 50 == 0, "")
+        .otherwise(_rounded_text(discount, 4, 99, _text(discount.cast("decimal(6,4)"))))
+        .alias("discount_pct"),
     )
 
 
