@@ -26,7 +26,7 @@ from quarrystone.plans.registry import MARTS, MODELS, Model, chosen
 from quarrystone.quality.contracts import Contract, warehouse_contracts
 from quarrystone.quality.suite import CheckResult, QualityGateError, gate, run_suite, summary
 from quarrystone.report import RunReport, append_report, published_run, write_results
-from quarrystone.session import apply_runtime_conf
+from quarrystone.session import BUILD_CONF, apply_runtime_conf, conf_set
 from quarrystone.sources.landing import land_all
 from quarrystone.sources.tables import export_csv, materialize_table, materialize_view, read_table
 
@@ -83,7 +83,8 @@ def build_models(
     order.prepare()
     while order.is_active():
         ready = order.get_ready()
-        stored = _together(spark, [partial(_materialize, due[n], tables, folder) for n in ready])
+        with conf_set(spark, BUILD_CONF):
+            stored = _together(spark, [partial(_materialize, due[n], tables, folder) for n in ready])
         for name, (df, record) in zip(ready, stored):
             tables[name], built[name] = df, record
         order.done(*ready)

@@ -141,3 +141,39 @@ def test_only_columns_that_others_do_not_give_are_brought_together_for_the_line_
     assert stored.where(F.col("product_id") == "P2").agg(F.max("cost_amount")).first()[0] == 0
     # Stored tables are compressed with zstd.
     assert list((tmp_path / "t").rglob("*.zstd.parquet"))
+
+
+def test_joins_of_a_build_sort_no_side_that_can_be_hashed(spark, conf, monkeypatch, tmp_path):
+    from quarrystone import job
+    from quarrystone.session import BUILD_CONF
+
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    before, plans = {k: spark.conf.get(k, None) for k in BUILD_CONF}, {}
+    store = job.materialize_table
+
+    def spy(df, name, *rest):
+        df.collect()
+        plans[name] = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        return store(df, name, *rest)
+
+    raw, _ = land_raw(spark, sample_feeds(spark, SF), str(tmp_path))
+    staged, _ = build_models(spark, raw, str(tmp_path), ["staging"])
+    monkeypatch.setattr(job, "materialize_table", spy)
+    tables, built = build_models(spark, staged, str(tmp_path), ["core"])
+    for name in ("fct_orders", "fct_order_lines"):
+        assert plans[name].count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plans[name]
+    assert {k: spark.conf.get(k, None) for k in BUILD_CONF} == before
+    rows = {b["name"]: b["rows"] for b in built}
+    assert rows["fct_orders"] == staged["stg_orders"].count() == tables["fct_orders"].count()
+    assert rows["fct_order_lines"] == staged["stg_order_lines"].count() == tables["fct_order_lines"].count()
+
+
+def test_rows_of_more_months_than_writers_are_all_written(spark, tmp_path):
+    from quarrystone.session import BUILD_CONF, conf_set
+
+    df = spark.range(0, 4000, 1, 4).selectExpr("id", "concat('2024-', id % 40) AS m")
+    with conf_set(spark, BUILD_CONF):
+        df.write.partitionBy("m").parquet(f"{tmp_path}/t")
+    back = spark.read.parquet(f"{tmp_path}/t")
+    # More months than writers: the rest of a task's rows are sorted, and none are lost.
+    assert (back.count(), back.select("m").distinct().count(), back.agg({"id": "sum"}).first()[0]) == (4000, 40, 3999 * 2000)
