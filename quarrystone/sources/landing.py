@@ -124,14 +124,22 @@ def _without_headers(names: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
-            files, starts = batch.column("file").to_pylist(), batch.column("start").to_pylist()
-            keep = [True] * batch.num_rows
-            for i, part in enumerate(zip(files, starts)):
+            values, files, starts = (batch.column(c) for c in ("value", "file", "start"))
+            # Only rows that begin a file part are looked at one by one.
+            turns = pc.or_(pc.not_equal(files[1:], files[:-1]), pc.not_equal(starts[1:], starts[:-1]))
+            headers = []
+            for i in [0, *(turn + 1 for turn in pc.indices_nonzero(turns).to_pylist())] if batch.num_rows else []:
+                part = files[i].as_py(), starts[i].as_py()
                 if part != last and part[1] == 0:
-                    _check_header(batch.column("value")[i].as_py(), names, part[0])
-                    keep[i] = False
+                    _check_header(values[i].as_py(), names, part[0])
+                    headers.append(i)
                 last = part
-            yield pa.RecordBatch.from_arrays([pc.filter(batch.column("value"), pa.array(keep, pa.bool_()))], names=["value"])
+            if headers:
+                keep = [True] * batch.num_rows
+                for i in headers:
+                    keep[i] = False
+                values = pc.filter(values, pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([values], names=["value"])
 
     return run
 

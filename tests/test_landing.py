@@ -216,3 +216,29 @@ def test_table_exists_and_adhoc_sql(spark, tmp_path):
     assert table_exists(spark, "some_t")
     assert adhoc_sql(spark, "SELECT x FROM some_t WHERE x >= :low ORDER BY x", {"low": 5}).count() == 45
     assert [r.x for r in adhoc_sql(spark, "SELECT x FROM some_t ORDER BY x", limit=2).collect()] == [0, 1]
+
+
+def test_only_rows_that_begin_a_file_part_become_python_objects():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    def batch(rows):
+        values, files, starts = zip(*rows) if rows else ((), (), ())
+        kinds = pa.string(), pa.string(), pa.int64()
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((values, files, starts), kinds)], names=["value", "file", "start"])
+
+    def kept(*batches):
+        return [v for out in landing._without_headers(["a", "b"])(iter(batches)) for v in out.column(0).to_pylist()]
+
+    head, more = ("a,b", "f", 0), ("a,b", "f", 0)
+    parts = [head, more, ("1,2", "f", 9), ("a,b", "f", 9), ("a,b", "g", 0)]
+    assert kept(batch([]), batch(parts), batch([("a,b", "g", 0), ("a,b", "h", 0)])) == ["a,b", "1,2", "a,b", "a,b"]
+    with pytest.raises(ValueError, match="h has the header"):
+        kept(batch([head, ("x,y", "h", 0)]))
+    many = batch([("1,2", "some/long/path/to/a/file", 128)] * 100_000)
+    tracemalloc.start()
+    list(landing._without_headers(["a", "b"])(iter([many])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500_000
