@@ -43,9 +43,14 @@ def money_sum(amount: Column) -> Column:
     return from_cents(F.sum(cents(amount)))
 
 
+def fine(amount: Column) -> Column:
+    """An amount that may carry up to six decimals, as a decimal whose sums are exact."""
+    return amount.cast("decimal(18,6)")
+
+
 def fine_sum(amount: Column) -> Column:
     """Exact sum of amounts that may carry up to six decimals, as DOUBLE."""
-    return F.sum(amount.cast("decimal(18,6)")).cast("double")
+    return F.sum(fine(amount)).cast("double")
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quarrystone.functions import dates
 from quarrystone.functions.money import money_sum, round2
+from quarrystone.plans.staging import line_amounts
 
 # Fixed value: the customer key that orders with an unresolved customer carry.
 UNKNOWN_CUSTOMER = "UNKNOWN"
@@ -96,7 +99,11 @@ def order_rollup(stg_order_lines: DataFrame) -> DataFrame:
     )
 
 
-def fct_orders(stg_orders: DataFrame, stg_order_lines: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def joined_orders(stg_orders: DataFrame, stg_order_lines: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    """Orders with their totals, without what ``keyed_orders`` computes from a row's own columns.
+
+    The customers are joined first, while the rows are still narrow.
+    """
     orders, totals = stg_orders.alias("o"), order_rollup(stg_order_lines).alias("t")
     members = dim_customer.select(F.col("customer_id").alias("member_id"), "is_unknown_member").alias("m")
     # The member flag belongs to the join condition: a filter after the join
@@ -107,11 +114,10 @@ def fct_orders(stg_orders: DataFrame, stg_order_lines: DataFrame, dim_customer:
         return F.coalesce(F.col(f"t.{name}"), F.lit(default))
 
     return (
-        orders.join(totals, F.col("t.order_id") == F.col("o.order_id"), "left")
-        .join(members, is_member, "left")
+        orders.join(members, is_member, "left")
+        .join(totals, F.col("t.order_id") == F.col("o.order_id"), "left")
         .select(
             F.col("o.order_id"),
-            F.coalesce(F.col("m.member_id"), F.lit(UNKNOWN_CUSTOMER)).alias("customer_key"),
             F.col("o.customer_id").alias("source_customer_id"),
             *[
                 F.col(f"o.{c}")
@@ -133,45 +139,78 @@ def fct_orders(stg_orders: DataFrame, stg_order_lines: DataFrame, dim_customer:
             total("discount_amount", 0.0).alias("discount_amount"),
             total("net_amount", 0.0).alias("net_amount"),
             F.col("o.shipping_cost"),
-            round2(total("net_amount", 0.0) + F.col("o.shipping_cost")).alias("total_amount"),
             total("has_return_line", 0).alias("has_return_line"),
             F.when(F.col("m.member_id").isNull(), 1).otherwise(0).alias("is_orphan_customer"),
         )
     )
 
 
+def keyed_orders(joined: DataFrame) -> DataFrame:
+    """The order fact from its joined rows: customer key and total follow from the row."""
+    before = joined.columns.index("has_return_line")
+    # A member that was found has the order's own customer id.
+    key = F.when(F.col("is_orphan_customer") == 1, UNKNOWN_CUSTOMER).otherwise(F.col("source_customer_id"))
+    return joined.select(
+        "order_id",
+        key.alias("customer_key"),
+        *joined.columns[1:before],
+        round2(F.col("net_amount") + F.col("shipping_cost")).alias("total_amount"),
+        *joined.columns[before:],
+    )
+
+
+def fct_orders(stg_orders: DataFrame, stg_order_lines: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    return keyed_orders(joined_orders(stg_orders, stg_order_lines, dim_customer))
+
+
+def _alike(a: Column, b: Column) -> Column:
+    """True for the same value; zeros of different sign are not the same."""
+    return F.when(a == 0, a.cast("string").eqNullSafe(b.cast("string"))).otherwise(a.eqNullSafe(b))
+
+
 def joined_lines(stg_order_lines: DataFrame, stg_orders: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Lines with their order and product, without what ``priced_lines`` computes from a row's own columns."""
-    lines = stg_order_lines.alias("l")
+    """Lines with their order and product, without what ``priced_lines`` computes from a row's own columns.
+
+    Amounts that are what staging makes of quantity, price and discount are left out as well; a row with any other
+    amount carries all of them.
+    """
+    made = line_amounts()
+    as_staged = reduce(Column.__and__, [_alike(F.col(name), value) for name, value in made.items()])
+    amounts = F.when(~as_staged, F.struct(*made)).alias("amounts")
+    # Numbers side by side take fewer bytes in the shuffles than between texts.
+    numbers = ("line_number", "quantity", "discount_pct", "unit_price")
+    lines = stg_order_lines.select(*numbers, amounts, "order_id", "product_id").alias("l")
     orders = stg_orders.select("order_id", "customer_id", "order_date", "order_month", "channel", "status").alias("o")
     products = dim_product.select("product_id", "category", "margin_band", "price_band", "cost_price").alias("p")
     return (
-        lines.join(orders, F.col("o.order_id") == F.col("l.order_id"))
-        .join(products, F.col("p.product_id") == F.col("l.product_id"), "left")
+        lines.join(products, F.col("p.product_id") == F.col("l.product_id"), "left")
+        .join(orders, F.col("o.order_id") == F.col("l.order_id"))
         .select(
             *[F.col(f"l.{c}") for c in ("order_id", "line_number", "product_id")],
             *[F.col(f"o.{c}") for c in ("customer_id", "order_date", "order_month", "channel", "status")],
             *[F.col(f"p.{c}") for c in ("category", "margin_band", "price_band", "cost_price")],
-            *[
-                F.col(f"l.{c}")
-                for c in ("quantity", "unit_price", "discount_pct", "gross_amount", "discount_amount", "net_amount")
-            ],
-            F.col("l.is_return"),
+            *[F.col(f"l.{c}") for c in ("quantity", "unit_price", "discount_pct", "amounts")],
         )
     )
 
 
 def priced_lines(joined: DataFrame) -> DataFrame:
-    """The line fact from its joined rows: key, cost and profit follow from the row."""
+    """The line fact from its joined rows: key, amounts, cost and profit follow from the row."""
     # Without a catalogue entry the cost is zero and profit equals net.
     cost = F.col("quantity") * F.coalesce(F.col("cost_price"), F.lit(0.0))
-    kept = [c for c in joined.columns if c not in ("cost_price", "is_return")]
+    kept = [c for c in joined.columns if c not in ("cost_price", "amounts")]
+    told = {f.name: f.dataType for f in joined.schema["amounts"].dataType}
+    amounts = {
+        name: F.when(F.col("amounts").isNull(), value.cast(told[name])).otherwise(F.col("amounts")[name])
+        for name, value in line_amounts().items()
+    }
     return joined.select(
         F.concat(F.col("order_id"), F.lit("-"), F.col("line_number").cast("string")).alias("order_line_key"),
         *kept,
+        *[amounts[name].alias(name) for name in ("gross_amount", "discount_amount", "net_amount")],
         round2(cost).alias("cost_amount"),
-        round2(F.col("net_amount") - cost).alias("gross_profit"),
-        "is_return",
+        round2(amounts["net_amount"] - cost).alias("gross_profit"),
+        amounts["is_return"].alias("is_return"),
     )
 
 

@@ -2,10 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quarrystone.functions import dates
-from quarrystone.functions.money import fine_sum, money_sum, percent, round2
+from quarrystone.functions.money import cents, fine, from_cents, money_sum, percent, round2
+
+
+def sums_and_distinct(
+    df: DataFrame, groups: Sequence[str], sums: Mapping[str, Column], distinct: str, counted: str
+) -> DataFrame:
+    """Per group the sums and the number of distinct non-null values of a column, as ``counted``.
+
+    Each row counts once for its sums and once for its value. So what is shuffled per value carries no sums, and
+    those of a group are one row per task.
+    """
+    both = df.withColumn("for_sums", F.explode(F.array(F.lit(True), F.lit(False))))
+    value = F.when(~F.col("for_sums"), F.col(distinct)).alias(counted)
+    each = [F.when(F.col("for_sums"), measure).alias(name) for name, measure in sums.items()]
+    per_value = both.select(*groups, value, *each).groupBy(*groups, counted).agg(*[F.sum(n).alias(n) for n in sums])
+    return per_value.groupBy(*groups).agg(*[F.sum(n).alias(n) for n in sums], F.count(counted).alias(counted))
 
 
 def mart_daily_revenue(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -15,17 +32,18 @@ def mart_daily_revenue(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     the calendar, so the result is the same and the join sees one row per date
     and channel instead of every order.
     """
+    totals = {
+        "order_count": F.lit(1),
+        "gross_revenue": cents(F.col("gross_amount")),
+        "discount_total": cents(F.col("discount_amount")),
+        "net_revenue": cents(F.col("net_amount")),
+        "shipping_revenue": fine(F.col("shipping_cost")),
+    }
+    completed = fct_orders.where(F.col("is_completed") == 1)
     per_day = (
-        fct_orders.where(F.col("is_completed") == 1)
-        .groupBy("order_date", "channel")
-        .agg(
-            F.count(F.lit(1)).alias("order_count"),
-            F.count_distinct("customer_key").alias("customer_count"),
-            money_sum(F.col("gross_amount")).alias("gross_revenue"),
-            money_sum(F.col("discount_amount")).alias("discount_total"),
-            money_sum(F.col("net_amount")).alias("net_revenue"),
-            round2(fine_sum(F.col("shipping_cost"))).alias("shipping_revenue"),
-        )
+        sums_and_distinct(completed, ["order_date", "channel"], totals, "customer_key", "customer_count")
+        .withColumns({n: from_cents(F.col(n)) for n in ("gross_revenue", "discount_total", "net_revenue")})
+        .withColumn("shipping_revenue", round2(F.col("shipping_revenue").cast("double")))
     )
     calendar = dim_date.select("date_key", "month_key", "weekday_name", "is_weekend")
     return per_day.join(calendar, F.col("date_key") == F.col("order_date")).select(
@@ -100,16 +118,20 @@ def mart_customer_value(fct_orders: DataFrame, dim_customer: DataFrame) -> DataF
 
 def mart_category_performance(fct_order_lines: DataFrame) -> DataFrame:
     sold = fct_order_lines.where((F.col("status") == "completed") & F.col("category").isNotNull())
-    totals = sold.groupBy("order_month", "category").agg(
-        F.count_distinct("order_id").alias("order_count"),
-        F.sum("quantity").alias("units_sold"),
-        money_sum(F.col("gross_amount")).alias("gross_revenue"),
-        money_sum(F.col("net_amount")).alias("net_revenue"),
-        money_sum(F.col("cost_amount")).alias("cost_of_goods"),
-        money_sum(F.col("gross_profit")).alias("gross_profit"),
-        F.count_if(F.col("is_return") == 1).alias("return_lines"),
-        F.count(F.lit(1)).alias("all_lines"),
-    )
+    money = {
+        "gross_revenue": "gross_amount",
+        "net_revenue": "net_amount",
+        "cost_of_goods": "cost_amount",
+        "gross_profit": "gross_profit",
+    }
+    sums = {
+        "units_sold": F.col("quantity"),
+        **{name: cents(F.col(amount)) for name, amount in money.items()},
+        "return_lines": F.when(F.col("is_return") == 1, 1).otherwise(0),
+        "all_lines": F.lit(1),
+    }
+    counted = sums_and_distinct(sold, ["order_month", "category"], sums, "order_id", "order_count")
+    totals = counted.withColumns({name: from_cents(F.col(name)) for name in money})
     return totals.select(
         "order_month",
         "category",

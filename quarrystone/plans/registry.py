@@ -23,6 +23,8 @@ class Model:
     # The same model in two steps, split where rows are brought together for
     # writing: only the first step's columns are shuffled.
     halves: tuple[Callable[..., DataFrame], Callable[[DataFrame], DataFrame]] | None = None
+    # Rows alike in these columns go into that shuffle, and so into the files, side by side.
+    side_by_side: tuple[str, ...] = ()
 
 
 MODELS: tuple[Model, ...] = (
@@ -41,6 +43,8 @@ MODELS: tuple[Model, ...] = (
         ("stg_orders", "stg_order_lines", "dim_customer"),
         core.fct_orders,
         partition_by="order_month",
+        halves=(core.joined_orders, core.keyed_orders),
+        side_by_side=("channel", "status", "currency", "payment_method", "order_hour"),
     ),
     Model(
         "fct_order_lines",
@@ -50,6 +54,7 @@ MODELS: tuple[Model, ...] = (
         core.fct_order_lines,
         partition_by="order_month",
         halves=(core.joined_lines, core.priced_lines),
+        side_by_side=("order_id",),
     ),
     Model("mart_daily_revenue", "marts", "table", ("fct_orders", "dim_date"), marts.mart_daily_revenue),
     Model("mart_customer_value", "marts", "table", ("fct_orders", "dim_customer"), marts.mart_customer_value),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quarrystone.functions import dates
 from quarrystone.functions.money import round2
@@ -80,6 +80,18 @@ def stg_orders(raw_orders: DataFrame) -> DataFrame:
     )
 
 
+def line_amounts() -> dict[str, Column]:
+    """The columns of a staged line that follow from its quantity, price and discount."""
+    gross, discount = F.col("quantity") * F.col("unit_price"), F.col("discount_pct")
+    return {
+        "gross_amount": round2(gross),
+        "discount_amount": round2(gross * discount),
+        "net_amount": round2(gross * (F.lit(1.0) - discount)),
+        # A return is a negative quantity on the original order.
+        "is_return": F.when(F.col("quantity") < 0, 1).otherwise(0),
+    }
+
+
 def stg_order_lines(raw_order_lines: DataFrame) -> DataFrame:
     columns = ("order_id", "line_number", "product_id", "quantity", "unit_price", "discount_pct")
     delivered = raw_order_lines.where(has_text("order_id")).select(*[trimmed(c) for c in columns])
@@ -91,15 +103,7 @@ def stg_order_lines(raw_order_lines: DataFrame) -> DataFrame:
         real_number("unit_price").alias("unit_price"),
         F.coalesce(real_number("discount_pct"), F.lit(0.0)).alias("discount_pct"),
     )
-    gross, discount = F.col("quantity") * F.col("unit_price"), F.col("discount_pct")
-    return typed.select(
-        *typed.columns,
-        round2(gross).alias("gross_amount"),
-        round2(gross * discount).alias("discount_amount"),
-        round2(gross * (F.lit(1.0) - discount)).alias("net_amount"),
-        # A return is a negative quantity on the original order.
-        F.when(F.col("quantity") < 0, 1).otherwise(0).alias("is_return"),
-    )
+    return typed.select(*typed.columns, *[value.alias(name) for name, value in line_amounts().items()])
 
 
 def stg_web_events(raw_web_events: DataFrame) -> DataFrame:
