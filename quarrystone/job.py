@@ -26,7 +26,7 @@ from quarrystone.plans.registry import MARTS, MODELS, Model, chosen
 from quarrystone.quality.contracts import Contract, warehouse_contracts
 from quarrystone.quality.suite import CheckResult, QualityGateError, gate, run_suite, summary
 from quarrystone.report import RunReport, append_report, published_run, write_results
-from quarrystone.session import BUILD_CONF, apply_runtime_conf, conf_set
+from quarrystone.session import ONCE_CONF, apply_runtime_conf, build_conf, conf_set
 from quarrystone.sources.landing import land_all
 from quarrystone.sources.tables import export_csv, materialize_table, materialize_view, read_table
 
@@ -49,7 +49,8 @@ def land_raw(
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Write the raw feeds as text tables; returns them with their row counts."""
     tasks = [partial(materialize_table, df, n, f"{folder}/raw/{n}") for n, df in sources.items()]
-    written = _together(spark, tasks)
+    with conf_set(spark, ONCE_CONF):
+        written = _together(spark, tasks)
     stored = {name: df for name, (df, _) in zip(sources, written)}
     return stored, {name: rows for name, (_, rows) in zip(sources, written)}
 
@@ -62,7 +63,8 @@ def _materialize(model: Model, tables: Mapping[str, DataFrame], folder: str) ->
         stored = materialize_view(df, model.name)
         rows = df.count()
     else:
-        stored, rows = materialize_table(df, model.name, f"{folder}/models/{model.name}", model.partition_by, finish)
+        path = f"{folder}/models/{model.name}"
+        stored, rows = materialize_table(df, model.name, path, model.partition_by, finish, model.side_by_side)
     record = {"name": model.name, "layer": model.layer, "materialized": model.materialized, "rows": rows}
     return stored, record | {"duration_s": round(time.monotonic() - started, 3)}
 
@@ -83,7 +85,7 @@ def build_models(
     order.prepare()
     while order.is_active():
         ready = order.get_ready()
-        with conf_set(spark, BUILD_CONF):
+        with conf_set(spark, build_conf(spark)):
             stored = _together(spark, [partial(_materialize, due[n], tables, folder) for n in ready])
         for name, (df, record) in zip(ready, stored):
             tables[name], built[name] = df, record
@@ -133,7 +135,9 @@ def full_refresh(
         report.models += built
         judge("final", [c for c in contracts if c.model not in staging], tables)
         if export:
-            written = _together(spark, [partial(export_csv, tables[m], f"{folder}/exports/{m}") for m in MARTS])
+            exports = [partial(export_csv, tables[m], f"{folder}/exports/{m}") for m in MARTS]
+            with conf_set(spark, ONCE_CONF):
+                written = _together(spark, exports)
             report.exports = dict(zip(MARTS, written))
         failed = any(r.severity == "error" and not r.passed for r in results)
         report.status, report.published = ("failed_quality" if failed else "success"), True

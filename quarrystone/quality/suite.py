@@ -13,6 +13,7 @@ from py4j.protocol import Py4JError
 
 from quarrystone.quality.checks import ROW_CHECKS, orphan_keys, violations
 from quarrystone.quality.contracts import Contract
+from quarrystone.session import ONCE_CONF, conf_set
 
 # The failing-row count of a check that could not run.
 ERRORED = -1
@@ -237,7 +238,8 @@ def _run_together(
     started = time.monotonic()
     positions = list(due)
     try:
-        rows = _counted(spark, tables, list(due.values()), with_detail).collect()
+        with conf_set(spark, ONCE_CONF):
+            rows = _counted(spark, tables, list(due.values()), with_detail).collect()
     except (PySparkException, Py4JError):
         by_model: dict[str, dict[int, Contract]] = {}
         for position, c in due.items():
