@@ -9,7 +9,7 @@ from quarrystone.plans.core import unknown_customer
 from quarrystone.plans.registry import MODELS
 from quarrystone.quality.suite import QualityGateError
 from quarrystone.report import reports
-from quarrystone.session import scratch_dir
+from quarrystone.session import ONCE_CONF, conf_set, scratch_dir
 from quarrystone.sources.landing import SOURCES, land_all, land_csv, land_jsonl, row_counts
 from workload.sample_feeds import FEEDS, sample_feeds
 from quarrystone.sources.tables import (
@@ -25,13 +25,18 @@ from workload.quality import STRICT, TOLERANT, _counts_sql
 from workload.relations import money_sum as sql_money_sum
 
 
+# How the sample feeds lie in the landing zone. A compressed file is read by one task, so its rows are bounded.
+LANDED = {"compression": "gzip", "maxRecordsPerFile": 1_000_000}
+
+
 def _landing_zone(spark: SparkSession, sf_dir: str) -> str:
     """The sample feeds as source files."""
     root = scratch_dir(spark, "landing")
     feeds = sample_feeds(spark, sf_dir)
     for source in SOURCES:
         write = export_jsonl if source.fmt == "jsonl" else export_csv
-        write(feeds[source.table], f"{root}/{source.path}")
+        with conf_set(spark, ONCE_CONF):
+            write(feeds[source.table], f"{root}/{source.path}", **LANDED)
     return root
 
 
